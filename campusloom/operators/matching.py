@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from campusloom import rules
 from campusloom.functions.text import course_level, normalize_name
+from campusloom.session import durable
 
 
 # --- names ----------------------------------------------------------------
@@ -148,14 +149,12 @@ def tokens(c: Column) -> Column:
 
 def token_index(docs: DataFrame, key: str, weights: dict[str, float]) -> DataFrame:
     """(token, key, weight): the summed weight of the fields holding a token."""
-    postings = F.flatten(
-        F.array(
-            *[
-                F.transform(tokens(F.col(f)), lambda t, w=w: F.struct(t.alias("token"), F.lit(float(w)).alias("weight")))
-                for f, w in weights.items()
-            ]
+    def postings_of(field: str, weight: float) -> Column:
+        return F.transform(
+            tokens(F.col(field)), lambda t: F.struct(t.alias("token"), F.lit(float(weight)).alias("weight"))
         )
-    )
+
+    postings = F.flatten(F.array(*[postings_of(f, w) for f, w in weights.items()]))
     return (
         docs.select(F.col(key), F.explode(postings).alias("p"))
         .groupBy(F.col("p.token").alias("token"), F.col(key))
@@ -195,10 +194,12 @@ def search(queries: DataFrame, text: str, index: DataFrame, key: str, k: int = 5
     others get their hot weights by a join on (token, key).  Both together hold
     every member of the exact top k.
     """
-    index = _one_per_copy(index, key, k)
+    # Both are read several times below: written once, they cost one pass over
+    # the documents and one over the queries.
+    index = durable(_one_per_copy(index, key, k))
     vocabulary = index.groupBy("token").agg((F.count(F.lit(1)) > hot_limit).alias("hot"))
     distinct = queries.select(F.col(text)).distinct()
-    known = (
+    known = durable(
         distinct.select(F.col(text), F.explode(tokens(F.col(text))).alias("token"))
         .join(vocabulary, "token")
         .groupBy(text)
@@ -209,40 +210,42 @@ def search(queries: DataFrame, text: str, index: DataFrame, key: str, k: int = 5
         .withColumn("set_id", F.concat(F.array_join("rare", " "), F.lit("|"), F.array_join("common", " ")))
     )
     sets = known.select("set_id", "rare", "common").distinct()
-
-    rare = (
+    by_rare = (
         sets.select("set_id", "common", F.explode("rare").alias("token"))
         .join(index, "token")
         .groupBy("set_id", key)
         .agg(F.sum("weight").alias("score"), F.first("common").alias("common"))
     )
+    best = by_rare.select("set_id", key, "score")
+    if not vocabulary.filter("hot").isEmpty():
+        best = _with_hot_tokens(sets, by_rare, index, vocabulary, key, k)
+    top = _top(best, ["set_id"], key, k)
+    return known.select(text, "set_id").join(top, "set_id").select(text, key, "score", "rank")
+
+
+def _with_hot_tokens(sets: DataFrame, by_rare: DataFrame, index: DataFrame, vocabulary: DataFrame, key: str, k: int) -> DataFrame:
+    """Scores with the weights of hot tokens, and the best by those alone."""
     extra = (
-        rare.select("set_id", key, F.explode("common").alias("token"))
+        by_rare.select("set_id", key, F.explode("common").alias("token"))
         .join(index, ["token", key])
         .groupBy("set_id", key)
         .agg(F.sum("weight").alias("extra"))
     )
-    full = rare.join(extra, ["set_id", key], "left").select(
+    full = by_rare.join(extra, ["set_id", key], "left").select(
         "set_id", key, (F.col("score") + F.coalesce("extra", F.lit(0.0))).alias("score")
     )
-
     hot_index = _one_per_copy(index.join(vocabulary.filter("hot").select("token"), "token", "left_semi"), key, k)
-    subsets = sets.filter(F.size("common") > 0).select(F.array_join("common", " ").alias("subset"), "common").distinct()
+    subset = F.array_join("common", " ").alias("subset")
     common = _top(
-        subsets.select("subset", F.explode("common").alias("token"))
+        sets.filter(F.size("common") > 0).select(subset, "common").distinct()
+        .select("subset", F.explode("common").alias("token"))
         .join(hot_index, "token")
         .groupBy("subset", key)
         .agg(F.sum("weight").alias("score")),
         ["subset"], key, k,
     ).drop("rank")
-    from_common = (
-        sets.select("set_id", F.array_join("common", " ").alias("subset"))
-        .join(common, "subset")
-        .select("set_id", key, "score")
-    )
-    best = full.unionByName(from_common).groupBy("set_id", key).agg(F.max("score").alias("score"))
-    top = _top(best, ["set_id"], key, k)
-    return known.select(text, "set_id").join(top, "set_id").select(text, key, "score", "rank")
+    from_common = sets.select("set_id", subset).join(common, "subset").select("set_id", key, "score")
+    return full.unionByName(from_common).groupBy("set_id", key).agg(F.max("score").alias("score"))
 
 
 def match_programs(programs: DataFrame, courses: DataFrame, weights: dict[str, float] | None = None, k: int = 5, floor: float = rules.MATCH_FLOOR, hot_limit: int = 50_000) -> DataFrame:
@@ -251,7 +254,7 @@ def match_programs(programs: DataFrame, courses: DataFrame, weights: dict[str, f
     Among the k most relevant courses a course of the program's level is
     preferred; otherwise the best one is taken if it reaches the floor.
     """
-    wanted = programs.select("category", "level").distinct().withColumn("__q", F.trim("category"))
+    wanted = durable(programs.select("category", "level").distinct().withColumn("__q", F.trim("category")))
     index = token_index(courses, "course_id", weights or {c: w for c, w in rules.COURSE_WEIGHTS.items() if c in courses.columns})
     found = search(wanted.filter("__q <> ''"), "__q", index, "course_id", k, hot_limit)
     levels = courses.select("course_id", F.col("level").alias("course_level"))
@@ -265,8 +268,10 @@ def match_programs(programs: DataFrame, courses: DataFrame, weights: dict[str, f
     mapped = course_level(F.col("level"))
     same_level = F.filter(pool, lambda h: h["course_level"] == mapped)
     pick = F.coalesce(F.get(same_level, F.lit(0)), F.get(strong, F.lit(0)))
-    return wanted.join(listed, "__q", "left").select(
-        "category", "level", pick["course_id"].alias("course_id"), pick["score"].alias("score")
+    return durable(
+        wanted.join(listed, "__q", "left").select(
+            "category", "level", pick["course_id"].alias("course_id"), pick["score"].alias("score")
+        )
     )
 
 

@@ -95,7 +95,8 @@ def blended_score(structural: Column, model: Column, trusted_model: Column, n_ha
         + F.when(_text("country") == 0, 0.05).otherwise(0.0)
         + F.coalesce(n_hallucinations, F.lit(0)) * 0.08
     )
-    return clamp(F.round(mixed - minus, 3), 0.0, 0.98)
+    # Nine digits first, so that a binary 0.6904999.. of a sum counts as 0.6905.
+    return clamp(F.round(F.round(mixed - minus, 9), 3), 0.0, 0.98)
 
 
 def decide(df: DataFrame) -> DataFrame:

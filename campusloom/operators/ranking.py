@@ -25,7 +25,9 @@ def best_per_key(df: DataFrame, by: list[str], order: list) -> DataFrame:
 
 def latest_run(perf: DataFrame, label: str, date: str) -> DataFrame:
     """Rows of the newest run; a one-row aggregate joined on its label."""
-    newest = perf.agg(F.max(F.struct(date, label)).alias("m")).select(F.col(f"m.{label}").alias("__l"))
+    newest = perf.agg(F.max(F.struct(F.col(date).alias("d"), F.col(label).alias("l"))).alias("m")).select(
+        F.col("m.l").alias("__l")
+    )
     return perf.join(newest, F.col(label) == F.col("__l"), "left_semi")
 
 
