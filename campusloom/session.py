@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,13 +21,23 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and cut the lineage there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where none is set (tests) a temporary one is used.
+    Only where none is set (tests) a temporary one is used.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="campusloom-"))
+    return sc.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the checkpoint folder, reachable from every executor."""
+    return f"{checkpoint_folder(spark)}/work-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write the rows to the checkpoint folder and cut the lineage there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()

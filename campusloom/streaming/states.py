@@ -265,3 +265,30 @@ def poll(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint:
     w = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if every is None else w.trigger(processingTime=every)
     return w.start()
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def drain(stream: DataFrame, folder: str) -> DataFrame:
+    """Run a stream over all that is there now and return what it wrote.
+
+    ``folder`` keeps output and progress: a later call goes on from there.
+    Keyed state needs the RocksDB store, set for the start of the query only.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        q = (
+            stream.writeStream.format("parquet").option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")

@@ -170,6 +170,15 @@ FROM (SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents) d
 """
 
 
+# Home pages with navigation, outside links and links of every kind.
+VIEWS["fx_home"] = """
+SELECT page_id, url, concat('<html lang="en"><body><nav><a href="/about-us">A</a> <a class="x" href="/Courses/mba/">C</a></nav><p><a href="mailto:x@y.org">M</a> <a href="#top">T</a> <a href="',
+  CASE page_id % 6 WHEN 0 THEN '/admissions/apply?utm_source=nav' WHEN 1 THEN '/news/today' WHEN 2 THEN '/tuition-fees/' WHEN 3 THEN '/fees.pdf' WHEN 4 THEN '/phd?page=2&ref=z' ELSE '/contact' END,
+  '">x</a> <a href="https://other.example.org/apply">o</a> <a href="/about-us#team">again</a></p>', CASE WHEN page_id % 5 = 0 THEN '' ELSE html END) AS html
+FROM pages
+"""
+
+
 def expand(sql: str) -> str:
     """Prefix a query with the views it names, as common table expressions."""
     needed: list[str] = []
@@ -186,8 +195,9 @@ def expand(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in needed)
     body = sql.strip()
-    if body[:4].upper() == "WITH":
-        return f"WITH {ctes},\n{body[4:]}"
+    for head in ("WITH RECURSIVE", "WITH"):
+        if body.upper().startswith(head):
+            return f"{head} {ctes},\n{body[len(head):]}"
     return f"WITH {ctes}\n{body}"
 
 
