@@ -7,6 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, however often fn reads it.
+
+    For long derived values: projections that refer to each other are merged by
+    the optimizer, which would otherwise repeat the value at every reference.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 # --- missing values -------------------------------------------------------
 
 def is_blank(c: Column) -> Column:

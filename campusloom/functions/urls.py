@@ -13,30 +13,29 @@ from pyspark.sql import Column, functions as F
 from campusloom import rules
 from campusloom.functions.text import contains_any, lookup
 
-_URL = r"^(?i:([a-z][a-z0-9+.\-]*)://([^/?#\\]+)([^?#]*)(\?[^#]*)?(#.*)?)$"
+_HEAD = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#\\]+"
 
 
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(F.trim(url), _URL, group)
-
+# Each part is one chain over a single reading of the url, so that nested uses
+# stay small expressions.
 
 def is_url(url: Column) -> Column:
-    return F.coalesce(F.trim(url).rlike(_URL), F.lit(False))
+    return F.coalesce(F.trim(url).rlike(_HEAD), F.lit(False))
 
 
 def scheme(url: Column) -> Column:
-    return F.when(is_url(url), F.lower(_part(url, 1)))
+    return F.nullif(F.lower(F.regexp_extract(F.trim(url), r"^([A-Za-z][A-Za-z0-9+.\-]*)://[^/?#\\]+", 1)), F.lit(""))
 
 
-def authority(url: Column) -> Column:
-    """Host and port, lower case, without user info or a default port."""
-    raw = F.regexp_replace(F.lower(_part(url, 2)), r"^[^@]*@", "")
-    web = F.when(scheme(url) == "https", F.regexp_replace(raw, ":443$", "")).otherwise(F.regexp_replace(raw, ":80$", ""))
-    return F.when(is_url(url), web)
+def origin(url: Column) -> Column:
+    """Scheme, host and port in lower case, without user info or default port."""
+    head = F.lower(F.regexp_extract(F.trim(url), f"({_HEAD})", 1))
+    no_user = F.regexp_replace(head, "//[^@/]*@", "//")
+    return F.nullif(F.regexp_replace(no_user, "^(https://.*):443$|^(http://.*):80$", "$1$2"), F.lit(""))
 
 
 def host(url: Column) -> Column:
-    return F.regexp_replace(authority(url), r":[0-9]+$", "")
+    return F.regexp_replace(origin(url), "^[^:]+://|:[0-9]+$", "")
 
 
 def bare_host(url: Column) -> Column:
@@ -46,12 +45,16 @@ def bare_host(url: Column) -> Column:
 
 def path(url: Column) -> Column:
     """Path with at least a slash; dot segments stay as written."""
-    p = _part(url, 3)
-    return F.when(is_url(url), F.when(p == "", "/").otherwise(p))
+    tail = F.regexp_extract(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/?#\\]+[^?#]*)", 1)
+    return F.nullif(F.regexp_replace(tail, "^//[^/]+/?", "/"), F.lit(""))
 
 
-def origin(url: Column) -> Column:
-    return F.concat(scheme(url), F.lit("://"), authority(url))
+def query_part(url: Column) -> Column:
+    return F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
+
+
+def fragment_part(url: Column) -> Column:
+    return F.regexp_extract(url, r"^[^#]*(#.*)$", 1)
 
 
 def path_key(url: Column) -> Column:
@@ -62,7 +65,7 @@ def path_key(url: Column) -> Column:
 
 def clean_url(url: Column) -> Column:
     """Drop tracking parameters, the fragment and a final slash."""
-    query = F.regexp_replace(_part(url, 4), r"^\?", "")
+    query = F.regexp_replace(query_part(F.trim(url)), r"^\?", "")
     names = "|".join(rules.TRACKING_PARAMETERS)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^(?:{names})(?:=|$)")), "&")
     rebuilt = F.concat(origin(url), path(url), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
@@ -83,36 +86,41 @@ def percent_encode(p: Column) -> Column:
 
 def _without_dots(p: Column) -> Column:
     """Resolve ``.`` and ``..`` segments of an absolute path."""
-    parts = F.split(p, "/")
-    last = F.element_at(parts, -1)
     folded = F.aggregate(
-        parts,
+        F.split(p, "/"),
         F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
         .when(s == ".", acc)
         .otherwise(F.concat(acc, F.array(s))),
     )
-    closed = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
-    return F.array_join(closed, "/")
+    closed = F.when(p.rlike(r"/\.\.?$"), F.concat(F.array_join(folded, "/"), F.lit("/"))).otherwise(F.array_join(folded, "/"))
+    return F.when(p.contains("/."), closed).otherwise(p)
 
 
-def resolve(href: Column, base: Column) -> Column:
-    """Absolute url of a link found on the page ``base``; NULL if impossible."""
+def absolute(href: Column, base: Column) -> Column:
+    """Full url of a link on the page ``base``, before normalising its path."""
     h = F.trim(href)
-    absolute = F.when(is_url(h), h).when(h.startswith("//"), F.concat(scheme(base), F.lit(":"), h))
-    loc = F.regexp_extract(h, r"^([^?#]*)", 1)
-    rest = F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
-    folder = F.regexp_replace(path(base), r"[^/]*$", "")
-    joined = F.when(loc == "", path(base)).when(loc.startswith("/"), loc).otherwise(F.concat(folder, loc))
-    keep_query = F.when((loc == "") & ~rest.startswith("?"), _part(base, 4)).otherwise(F.lit(""))
-    relative = F.when(
-        ~h.rlike(r"^(?i)[a-z][a-z0-9+.\-]*:"),
-        F.concat(origin(base), percent_encode(_without_dots(joined)), keep_query, rest),
+    site = origin(base)
+    return F.when(
+        is_url(base),
+        F.when(is_url(h), h)
+        .when(h.startswith("//"), F.concat(scheme(base), F.lit(":"), h))
+        .when(h.rlike(r"^(?i)[a-z][a-z0-9+.\-]*:"), F.lit(None).cast("string"))
+        .when(h.startswith("/"), F.concat(site, h))
+        .when(h.startswith("?"), F.concat(site, path(base), h))
+        .when((h == "") | h.startswith("#"), F.concat(site, path(base), query_part(base), h))
+        .otherwise(F.concat(site, F.regexp_replace(path(base), r"[^/]*$", ""), h)),
     )
-    own = F.concat(
-        origin(absolute), percent_encode(_without_dots(path(absolute))), _part(absolute, 4), _part(absolute, 5)
-    )
-    return F.when(is_url(base), F.coalesce(own, relative))
+
+
+def normal_url(url: Column) -> Column:
+    """Origin in lower case, dot segments resolved, path escaped."""
+    return F.concat(origin(url), percent_encode(_without_dots(path(url))), query_part(url), fragment_part(url))
+
+
+def resolve(href: Column, base: Column) -> Column:
+    """Absolute url of a link found on the page ``base``; NULL if impossible."""
+    return normal_url(absolute(href, base))
 
 
 def country_from_url(url: Column) -> Column:
@@ -142,11 +150,18 @@ def classify(url: Column) -> Column:
 
 
 def link_score(url: Column) -> Column:
-    """Additive score of a link, -999 for excluded pages and non-urls."""
-    p, full = F.lower(path(url)), F.lower(url)
-    parts = [F.when(p.rlike(r) | full.rlike(r), s).otherwise(0) for r, s in rules.LINK_SCORES]
+    """Additive score of a link, -999 for excluded pages and non-urls.
+
+    The path is part of the url, so one test of the url per rule is enough; a
+    file ending counts at the end of the path or of the url.
+    """
+    full = F.lower(url)
+
+    def hit(rule: str) -> Column:
+        return full.rlike(f"^[^?#]*{rule[:-1]}(?:[?#]|$)|{rule}" if rule.endswith("$") else rule)
+
+    total = reduce(lambda a, b: a + b, [F.when(hit(r), s).otherwise(0) for r, s in rules.LINK_SCORES])
     # Bans stand last in the table, so a floor at the end equals stopping there.
-    total = reduce(lambda a, b: a + b, parts)
     return F.when(is_url(url), F.greatest(total, F.lit(-999))).otherwise(-999)
 
 

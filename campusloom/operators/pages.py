@@ -9,11 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from campusloom import rules
+from campusloom.functions.basics import bound
 from campusloom.functions.hashing import url_key
 from campusloom.functions.text import drop_boilerplate
-from campusloom.functions.urls import clean_url, is_followable, link_score, path_key, resolve, same_site, sitemap_score
+from campusloom.functions.urls import (
+    absolute, bare_host, clean_url, is_followable, link_score, normal_url, path_key, sitemap_score,
+)
 from campusloom.operators.joins import without_failed
 from campusloom.operators.ranking import best_per_key, top_per_group
+from campusloom.session import durable
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -113,9 +117,10 @@ _HREF = r'(?is)<a\b[^>]*?\bhref\s*=\s*["\']([^"\']*)["\']'
 def links(pages: DataFrame, keys: list[str], base: str = "url", html: str = "html") -> DataFrame:
     """(keys, base, pos, href, url): every anchor with its absolute url."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(_HREF), F.lit(1))
-    return pages.select(*keys, F.col(base), F.posexplode(hrefs).alias("pos", "href")).withColumn(
-        "link", resolve(F.col("href"), F.col(base))
-    )
+    found = pages.select(*keys, F.col(base), F.posexplode(hrefs).alias("pos", "href"))
+    # Two steps, so that the full url is computed once per anchor.
+    full = found.withColumn("__full", absolute(F.col("href"), F.col(base)))
+    return full.withColumn("link", bound(F.col("__full"), normal_url)).drop("__full")
 
 
 def nav_links(pages: DataFrame, keys: list[str], base: str = "url", html: str = "html") -> DataFrame:
@@ -132,7 +137,7 @@ def images(pages: DataFrame, keys: list[str], base: str = "url", html: str = "ht
     return (
         pages.select(*keys, F.col(base), F.posexplode(found).alias("pos", "src"))
         .filter(~F.col("src").startswith("data:"))
-        .withColumn("image_url", resolve(F.col("src"), F.col(base)))
+        .withColumn("image_url", bound(absolute(F.col("src"), F.col(base)), normal_url))
         .filter(F.col("image_url").isNotNull())
         .groupBy(*keys, "image_url")
         .agg(F.min("pos").alias("pos"))
@@ -160,34 +165,40 @@ def discover_pages(homes: DataFrame, failed: DataFrame, key: str = "page_id", ba
     removed; a site left with few pages also gets its navigation links.
     """
     site = homes.withColumn(base, F.regexp_replace(base, "/$", ""))
-    seen = links(site, [key], base).filter(is_followable(F.col("href")) & F.col("link").isNotNull())
-    scored = (
-        seen.filter(same_site(F.col("link"), F.col(base)))
-        .withColumn("score", link_score(F.col("link")))
-        .filter("score >= 0")
-        .select(key, "pos", "link", "score", clean_url(F.col("link")).alias("page"))
-    )
+    link = F.col("link")
+
+    def scored(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            key, "pos", bound(link, link_score).alias("score"), bound(link, clean_url).alias("page"),
+            bound(link, path_key).alias("norm"),
+        )
+
+    seen = links(site, [key], base).filter(is_followable(F.col("href")))
+    inside = seen.filter(F.coalesce(bound(link, bare_host) == bare_host(F.col(base)), F.lit(False)))
     home = site.select(
-        key, F.lit(-1).alias("pos"), F.col(base).alias("link"), link_score(F.col(base)).alias("score"), F.col(base).alias("page")
+        key, F.lit(-1).alias("pos"), link_score(F.col(base)).alias("score"), F.col(base).alias("page"),
+        path_key(F.col(base)).alias("norm"),
+    )
+    # Excluded links rank behind everything and go after the window, so that a
+    # score is computed once; the home page counts as seen whatever its score.
+    usable = (F.col("score") >= 0) | (F.col("pos") == -1)
+    found = (
+        best_per_key(home.unionByName(scored(inside)), [key, "norm"], [F.when(usable, F.col("score")).desc_nulls_last(), "pos"])
+        .filter(usable)
+        .withColumn("score", link_score(F.col("page")))
     )
-    found = best_per_key(
-        home.unionByName(scored).withColumn("norm", path_key(F.col("link"))), [key, "norm"], [F.desc("score"), "pos"]
-    ).withColumn("score", link_score(F.col("page")))
-    top = top_per_group(found.filter("score >= 0"), [key], [F.desc("score"), "pos"], n)
+    found = durable(found)  # read twice below; the html is parsed once
+    top = top_per_group(found, [key], [F.desc("score"), "pos"], n).filter("score >= 0")
     good = without_failed(top, failed, url_key(F.col("page")))
 
     enough = good.groupBy(key).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= few).select(key)
-    extra = (
-        nav_links(site, [key], base)
-        .filter(F.col("link").isNotNull())
-        .join(enough, key, "left_anti")
-        .withColumn("score", link_score(F.col("link")))
-        .filter("score >= 30")
-        .withColumn("norm", path_key(F.col("link")))
-        .join(found.select(key, "norm"), [key, "norm"], "left_anti")
-    )
-    extra = best_per_key(extra, [key, "norm"], ["pos"]).select(
-        key, clean_url(F.col("link")).alias("page"), "score", F.lit(1).alias("part"), F.col("pos").alias("at")
+    poor = site.join(enough, key, "left_anti")
+    extra = best_per_key(
+        scored(nav_links(poor, [key], base).filter(F.col("href") != "")),
+        [key, "norm"], [F.when(F.col("score") >= 30, F.col("pos")).asc_nulls_last()],
+    ).filter("score >= 30 AND page IS NOT NULL")
+    extra = extra.join(found.select(key, "norm"), [key, "norm"], "left_anti").select(
+        key, "page", "score", F.lit(1).alias("part"), F.col("pos").alias("at")
     )
     every = good.select(key, "page", "score", F.lit(0).alias("part"), F.col("rank").alias("at")).unionByName(extra)
     return top_per_group(every, [key], ["part", "at", "page"], n).select(key, "page", "score", "rank")
@@ -195,9 +206,10 @@ def discover_pages(homes: DataFrame, failed: DataFrame, key: str = "page_id", ba
 
 def select_sitemap(entries: DataFrame, failed: DataFrame, site: str, url: str, order: str, n: int = 20) -> DataFrame:
     """Best sitemap entries per site; the first of each normal form counts."""
-    scored = entries.withColumn("score", sitemap_score(F.col(url))).filter("score >= 0")
-    once = best_per_key(scored.withColumn("__norm", path_key(F.col(url))), [site, "__norm"], [order]).drop("__norm")
-    top = top_per_group(once, [site], [F.desc("score"), order], n)
+    scored = entries.withColumn("score", sitemap_score(F.col(url))).withColumn("__norm", path_key(F.col(url)))
+    # Excluded pages sort last and go after the window: one score per entry.
+    once = best_per_key(scored, [site, "__norm"], [F.col("score") < 0, order]).drop("__norm")
+    top = top_per_group(once, [site], [F.desc("score"), order], n).filter("score >= 0")
     return without_failed(top, failed, url_key(F.col(url)))
 
 

@@ -79,8 +79,9 @@ def adaptive_pages(pages: DataFrame, site: str, position: str, chars: Column, en
 
 def prioritize_pages(urls: DataFrame, site: str, url: str = "url", n: int = 8) -> DataFrame:
     """Distinct urls per site by the first matching keyword, positive scores only."""
-    scored = urls.select(site, url).distinct().withColumn("score", crawl_score(F.col(url))).filter("score > 0")
-    return top_per_group(scored, [site], [F.desc("score"), F.asc(url)], n)
+    scored = urls.select(site, url).distinct().withColumn("score", crawl_score(F.col(url)))
+    # Unwanted pages rank last, so dropping them afterwards changes no rank.
+    return top_per_group(scored, [site], [F.desc("score"), F.asc(url)], n).filter("score > 0")
 
 
 # --- sections of one text -------------------------------------------------

@@ -85,27 +85,43 @@ def can_crawl(targets: DataFrame, latest: DataFrame, now: Column, domain: str =
 
 
 class _Ordered(StatefulProcessor):
-    """Feeds the rows of a key in time order to ``one(state, row)``."""
+    """Feeds the rows of a key in time order to ``one(state, row)``.
+
+    With ``ttl`` an event-time timer clears the state once the watermark has
+    passed the last renewal by that long; rows older than the watermark are
+    gone by then, so clearing never changes a result.
+    """
 
     state_schema = ""
-    state_ttl_ms = 0
+    ttl = 0
     columns: list[str] = []
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("state", self.state_schema, ttlDurationMs=self.state_ttl_ms or None)
+        self.handle = handle
+        self.value = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        state = list(self.value.get()) if self.value.exists() else None
+        before = tuple(self.value.get()) if self.value.exists() else None
+        state = before
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["us", "event_id"], kind="stable")
         out = []
         for row in pdf.itertuples(index=False):
             state, result = self.one(state, row)
             if result is not None:
                 out.append((*key, row.event_id, row.us, *result))
-        self.value.update(tuple(state))
+        if state != before:
+            self.value.update(state)
+            if self.ttl:
+                for t in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer((state[-1] + self.ttl) // 1000 + 1)
         if out:
             yield pd.DataFrame(out, columns=self.columns)
 
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.value.clear()
+        return iter(())
+
     def one(self, state, row):
         raise NotImplementedError
 
@@ -113,9 +129,19 @@ class _Ordered(StatefulProcessor):
         pass
 
 
+def _by_key(rows: DataFrame, key: str, processor: _Ordered, output: str, lateness: str) -> DataFrame:
+    """Run a processor per key; ``rows`` has the key, event_id and us."""
+    if processor.ttl:
+        rows = rows.withColumn("at", F.timestamp_micros("us")).withWatermark("at", lateness)
+    return rows.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=output, outputMode="Append",
+        timeMode="EventTime" if processor.ttl else "None",
+    )
+
+
 class _Health(_Ordered):
     state_schema = "forbidden bigint, unreachable bigint, us bigint"
-    state_ttl_ms = HEALTH_TTL // 1000
+    ttl = HEALTH_TTL
     columns = ["domain", "event_id", "us", "forbidden_count", "unreachable_count", "health"]
 
     def one(self, state, row):
@@ -127,16 +153,13 @@ class _Health(_Ordered):
         return (f, u, row.us), (f, u, bad.get(row.kind, "healthy"))
 
 
-def crawl_health_stream(log: DataFrame) -> DataFrame:
+def crawl_health_stream(log: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Same rows as :func:`crawl_health` over a stream in time order."""
     rows = log.select(
         "domain", "event_id", epoch_micros(F.col("ts")).alias("us"), outcome(F.col("status_code"), F.col("error")).alias("kind")
     )
-    return rows.groupBy("domain").transformWithStateInPandas(
-        statefulProcessor=_Health(),
-        outputStructType="domain string, event_id bigint, us bigint, forbidden_count bigint, unreachable_count bigint, health string",
-        outputMode="Append", timeMode="ProcessingTime",
-    )
+    output = "domain string, event_id bigint, us bigint, forbidden_count bigint, unreachable_count bigint, health string"
+    return _by_key(rows, "domain", _Health(), output, lateness)
 
 
 # --- breaker per key ------------------------------------------------------
@@ -195,18 +218,15 @@ def breaker_stream(calls: DataFrame) -> DataFrame:
         "key", "event_id", epoch_micros(F.col("ts")).alias("us"), "result",
         (F.coalesce("retry_after_ms", F.lit(0)) * 1000).cast("long").alias("retry_us"),
     )
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_Breaker(),
-        outputStructType="key string, event_id bigint, us bigint, failures bigint, open_until bigint, limited_until bigint",
-        outputMode="Append", timeMode="None",
-    )
+    output = "key string, event_id bigint, us bigint, failures bigint, open_until bigint, limited_until bigint"
+    return _by_key(rows, "key", _Breaker(), output, "0 seconds")
 
 
 # --- content memory -------------------------------------------------------
 
 class _FirstSeen(_Ordered):
     state_schema = "us bigint"
-    state_ttl_ms = CONTENT_TTL // 1000
+    ttl = CONTENT_TTL
     columns = ["content_hash", "event_id", "us"]
 
     def one(self, state, row):
@@ -215,7 +235,7 @@ class _FirstSeen(_Ordered):
         return (row.us,), ()
 
 
-def new_content_stream(texts: DataFrame, text: str = "text", minimum: int = 200) -> DataFrame:
+def new_content_stream(texts: DataFrame, text: str = "text", minimum: int = 200, lateness: str = "1 hour") -> DataFrame:
     """Texts not seen within the last six hours; a repeat does not renew them.
 
     Short texts are never duplicates and are not part of this stream.
@@ -223,10 +243,7 @@ def new_content_stream(texts: DataFrame, text: str = "text", minimum: int = 200)
     rows = texts.filter(F.length(text) >= minimum).select(
         content_key(F.col(text)).alias("content_hash"), "event_id", epoch_micros(F.col("ts")).alias("us")
     )
-    return rows.groupBy("content_hash").transformWithStateInPandas(
-        statefulProcessor=_FirstSeen(), outputStructType="content_hash string, event_id bigint, us bigint",
-        outputMode="Append", timeMode="ProcessingTime",
-    )
+    return _by_key(rows, "content_hash", _FirstSeen(), "content_hash string, event_id bigint, us bigint", lateness)
 
 
 def new_content_within_watermark(texts: DataFrame, text: str = "text", minimum: int = 200) -> DataFrame:

@@ -31,7 +31,7 @@ def content_lines(t):
     return t.documents.select("doc_id", X.drop_boilerplate(F.col("text")).alias("body"))
 
 
-_ART = r"replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', '', 'g'), '&quot;', '\"'), '&amp;', '&')"
+_ART = r"""replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&')"""
 _AD = r"""replace(replace(regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1), '&quot;', '"'), '&amp;', '&')"""
 
 
@@ -111,8 +111,8 @@ good AS (SELECT * FROM top WHERE page NOT IN (SELECT regexp_replace(url, '/$', '
 extra AS (SELECT page_id, page, score, pos FROM (SELECT *, row_number() OVER (PARTITION BY page_id, norm ORDER BY pos) AS k FROM (SELECT n.page_id, pos, {_clean('link')} AS page, {_score('link')} AS score, {_norm('link')} AS norm FROM
    (SELECT page_id, pos, {_RESOLVED} AS link FROM {_HREFS.format(html="regexp_extract(html, '(?s)^.*?<nav>(.*?)</nav>', 1)", src=_SITE)} y) n WHERE page_id NOT IN (SELECT page_id FROM good GROUP BY page_id HAVING COUNT(*) >= 3)) a
    WHERE score >= 30 AND NOT EXISTS (SELECT 1 FROM found f WHERE f.page_id = a.page_id AND f.norm = a.norm)) b WHERE k = 1),
-every AS (SELECT page_id, page, score, 0 AS part, rank AS at FROM good UNION ALL SELECT page_id, page, score, 1, pos FROM extra)
-SELECT page_id, page, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY part, at, page) AS rank FROM every) z WHERE rank <= 12"""
+every AS (SELECT page_id, page, score, 0 AS part, rank AS seq FROM good UNION ALL SELECT page_id, page, score, 1, pos FROM extra)
+SELECT page_id, page, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY part, seq, page) AS rank FROM every) z WHERE rank <= 12"""
 
 
 @query("H4 V8 W1 W2 J5", _DISC)
@@ -127,17 +127,20 @@ _HOSTKEY = r"regexp_replace(regexp_extract(url, '://([^/?#:]+)', 1), '^www\.', '
 @query(
     "H5 S6 V9",
     f"""SELECT site, url, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY score DESC, url) AS rank FROM
- (SELECT site, url, score, row_number() OVER (PARTITION BY site, {_norm('url')} ORDER BY url) AS k FROM (SELECT DISTINCT page_id % 5 AS site, link AS url, {_first('lower(link)', rules.SITEMAP_SCORES, 5)} AS score FROM fx_link) a WHERE score >= 0) b WHERE k = 1) c
-WHERE rank <= 20 AND url NOT IN (SELECT url FROM fx_failed_page)""",
+ (SELECT site, url, score, row_number() OVER (PARTITION BY site, {_norm('url')} ORDER BY url) AS k FROM (SELECT DISTINCT CAST(floor(page_id / 20) AS BIGINT) AS site, link AS url, {_first('lower(link)', rules.SITEMAP_SCORES, 5)} AS score FROM fx_link) a WHERE score >= 0) b WHERE k = 1) c
+WHERE rank <= 12 AND url NOT IN (SELECT url FROM fx_failed_page)""",
 )
 def sitemap_selection(t):
-    """Sitemap files written from the links, read back as XML."""
+    """Sitemap files of up to 20 links each, landed and read back as XML."""
     folder = work_folder(t.spark)
     entry = F.concat(F.lit("<url><loc>"), F.replace("link", F.lit("&"), F.lit("&amp;")), F.lit("</loc></url>"))
-    t.fx_link.select((F.col("page_id") % 5).alias("site"), entry.alias("value")).distinct().repartition(8, "site").write.partitionBy("site").text(folder)
-    maps = readers.read_sitemaps(t.spark, folder).withColumn("site", F.regexp_extract("source", "site=([0-9]+)", 1).cast("long"))
+    maps = t.fx_link.groupBy(F.floor(F.col("page_id") / 20).alias("site")).agg(
+        F.concat(F.lit("<urlset>"), F.array_join(F.sort_array(F.collect_list(entry)), ""), F.lit("</urlset>")).alias("value")
+    )
+    maps.write.partitionBy("site").text(folder)
+    read = readers.read_sitemaps(t.spark, folder).withColumn("site", F.regexp_extract("source", "site=([0-9]+)", 1).cast("long"))
     failed = t.fx_failed_page.select(hashing.url_key(F.col("url")).alias("url_hash"))
-    return H.select_sitemap(maps, failed, "site", "loc", "loc").select("site", F.col("loc").alias("url"), "score", "rank")
+    return H.select_sitemap(read, failed, "site", "loc", "loc", 12).select("site", F.col("loc").alias("url"), "score", "rank")
 
 
 @query(
