@@ -117,14 +117,16 @@ def ranked_sections(text: Column, minimum: int = 40) -> Column:
 def distinct_sections(sections: Column, words: int = 80, overlap: float = 0.65, keep: int = 8) -> Column:
     """Greedy pass: drop a section too similar to one already kept."""
     start = F.array().cast("array<struct<text:string,words:array<string>>>")
+    # The words of a section are taken once, not at every comparison.
+    split = F.transform(
+        sections, lambda s: F.struct(s["text"].alias("text"), _words(s["text"], words).alias("words"))
+    )
 
     def step(acc: Column, s: Column) -> Column:
-        w = _words(s["text"], words)
-        similar = F.exists(acc, lambda k: word_overlap(k["words"], w) > overlap)
-        added = F.concat(acc, F.array(F.struct(s["text"].alias("text"), w.alias("words"))))
-        return F.when((F.size(acc) >= keep) | similar, acc).otherwise(added)
+        similar = F.exists(acc, lambda k: word_overlap(k["words"], s["words"]) > overlap)
+        return F.when((F.size(acc) >= keep) | similar, acc).otherwise(F.concat(acc, F.array(s)))
 
-    return F.transform(F.aggregate(sections, start, step), lambda s: s["text"])
+    return F.transform(F.aggregate(split, start, step), lambda s: s["text"])
 
 
 def preprocess_content(text: Column) -> Column:

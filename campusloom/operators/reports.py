@@ -138,11 +138,11 @@ def backfill_counters(scope: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def _beside(*ones: DataFrame) -> DataFrame:
-    """Put one-row aggregates side by side by an equi join on a constant."""
-    out = ones[0].withColumn("__one", F.lit(1))
+    """Put one-row aggregates side by side, without a join."""
+    out = ones[0]
     for o in ones[1:]:
-        out = out.join(o.withColumn("__one", F.lit(1)), "__one")
-    return out.drop("__one")
+        out = out.unionByName(o, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
 
 
 def outcome_summary(reconciled: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from campusloom.operators.quality import (
     decide, external_only_confidence, missing_required, record_status,
 )
 from campusloom.operators.records import failure_reason, fill_gaps, merge_extracted, validate
+from campusloom.session import durable
 
 
 def score_records(
@@ -52,7 +53,8 @@ def enrich_catalog(
     countries: DataFrame, courses: DataFrame, by_country: DataFrame,
 ) -> dict[str, DataFrame]:
     """Records with status and resolved country, and their course links."""
-    scored = score_records(extracted, external, entities, model, by_country)
+    # Read twice, for placing and for linking: scored once, kept durably.
+    scored = durable(score_records(extracted, external, entities, model, by_country))
     placed = resolve_country(
         scored.join(entities.select("entity_id", "country_id"), "entity_id"), countries, "country", "country_id"
     )

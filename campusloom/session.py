@@ -41,3 +41,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write the rows to the checkpoint folder and cut the lineage there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer splits than cores.
+
+    For costly work per row on a small input of one file; an input with enough
+    splits is returned as it is, without a shuffle.  Give it a plain scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

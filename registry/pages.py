@@ -8,7 +8,7 @@ from campusloom import rules
 from campusloom.functions import hashing, text as X, urls as U
 from campusloom.operators import matching as M, pages as H, ranking
 from campusloom.plans import discovery, performance
-from campusloom.session import work_folder
+from campusloom.session import spread, work_folder
 from campusloom.sources import readers, tables as S
 from registry.base import query
 from registry.matching import _BY
@@ -28,7 +28,7 @@ def _kept(text: str, limit: int | None) -> str:
 
 @query("P9", f"SELECT doc_id, {_kept('text', 20000)} AS body FROM documents")
 def content_lines(t):
-    return t.documents.select("doc_id", X.drop_boilerplate(F.col("text")).alias("body"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", X.drop_boilerplate(F.col("text")).alias("body"))
 
 
 _ART = r"""replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&')"""
@@ -37,7 +37,7 @@ _AD = r"""replace(replace(regexp_extract(html, '(?s)<div class="ad">(.*?)</div>'
 
 @query("H1 H7", f"SELECT page_id, body AS cleaned_text, length(body) < 400 AS thin FROM (SELECT page_id, {_kept(f'CASE WHEN length({_ART}) > 200 THEN {_ART} ELSE {_AD} || {_ART} END', 20000)} AS body FROM pages) x")
 def page_texts(t):
-    c = H.clean_pages(t.pages.select("page_id", "html"))
+    c = H.clean_pages(spread(t.pages.select("page_id", "html")))
     return c.select("page_id", "cleaned_text", X.is_thin(F.col("cleaned_text")).alias("thin"))
 
 
@@ -118,7 +118,7 @@ SELECT page_id, page, score, rank FROM (SELECT *, row_number() OVER (PARTITION B
 @query("H4 V8 W1 W2 J5", _DISC)
 def discovered_pages(t):
     failed = t.fx_failed_page.select(hashing.url_key(F.regexp_replace("url", "/$", "")).alias("url_hash"))
-    return H.discover_pages(t.fx_home, failed)
+    return H.discover_pages(spread(t.fx_home), failed)
 
 
 _HOSTKEY = r"regexp_replace(regexp_extract(url, '://([^/?#:]+)', 1), '^www\.', '')"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from campusloom.functions import text as X, urls as U
 from campusloom.operators import matching as M, predicates as P, ranking, records as R, reports as A
 from campusloom.plans import backfill, performance
+from campusloom.session import spread
 from registry.base import query
 from registry.matching import _LINKS, _PICK, _PRIO, links
 from registry.records import _REC
@@ -284,7 +285,8 @@ def united_pages(t):
 def ranked_sections(t):
     """Paragraphs of a text as sections; checked by brute force in the tests."""
     marked = F.regexp_replace("text", "\n", "[PAGE 1]")
-    return t.documents.select("doc_id", ranking.preprocess_content(marked).alias("content"))
+    d = spread(t.documents.select("doc_id", "text"))
+    return d.select("doc_id", ranking.preprocess_content(marked).alias("content"))
 
 
 @query(
@@ -292,7 +294,7 @@ def ranked_sections(t):
     "SELECT doc_id, " + " + ".join(f"CASE WHEN regexp_matches(text, '(?i){p}') THEN {w} ELSE 0 END" for p, w in __import__("campusloom.rules", fromlist=["x"]).SECTION_SCORES) + " AS score FROM documents",
 )
 def section_scores(t):
-    return t.documents.select("doc_id", ranking.section_score(F.col("text")).alias("score"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", ranking.section_score(F.col("text")).alias("score"))
 
 
 @query("T8", "SELECT url, run_no, round(ctr, 6) AS ctr, round(lag(ctr) OVER (PARTITION BY url ORDER BY run_no), 6) AS previous_ctr, round(ctr - lag(ctr) OVER (PARTITION BY url ORDER BY run_no), 6) AS ctr_change FROM fx_perf")

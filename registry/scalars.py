@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from campusloom import rules
 from campusloom.functions import basics as B, hashing, jsonfix, seo, text as X, urls as U
+from campusloom.session import spread
 from registry.base import query
 
 BRAND = "Good Brand"
@@ -33,7 +34,7 @@ _SLUG = rf"regexp_replace(regexp_replace(trim(regexp_replace({_SLUG}, '[^a-z0-9\
 
 @query("V1", f"SELECT doc_id, {_SLUG} AS slug FROM documents")
 def slugs(t):
-    return t.documents.select("doc_id", X.slugify(F.col("text")).alias("slug"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", X.slugify(F.col("text")).alias("slug"))
 
 
 _NORM = r"trim(regexp_replace(regexp_replace(regexp_replace(lower({c}), '\s*\([^)]*\)', '', 'g'), '[''\"‘’“”.,\-–—/&|]', ' ', 'g'), '\s+', ' ', 'g'))"

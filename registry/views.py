@@ -221,6 +221,9 @@ class Tables:
     def record(self) -> DataFrame:
         """``fx_record`` with real list columns and its programs."""
         r = self.fx_record
+        cores = self.spark.sparkContext.defaultParallelism
+        if self.customer.rdd.getNumPartitions() < cores:
+            r = r.repartition(cores, "entity_id")
         for c, src in {"intakes": "intakes_text", "admission_requirements": "requirements_text", "similar_universities": "similar_text"}.items():
             r = r.withColumn(c, F.filter(F.split(src, ";"), lambda x: x != "")).drop(src)
         programs = self.fx_program.groupBy("entity_id").agg(
