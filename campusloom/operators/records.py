@@ -410,11 +410,13 @@ def fill_gaps(df: DataFrame, by_country: DataFrame, country: str = "country_name
         "admission_requirements": F.when(english, _list(rules.REQUIREMENTS_ENGLISH)).otherwise(_list(rules.REQUIREMENTS_OTHER)),
     }
     rest = [c for c in df.columns if c not in value]
-    return j.select(
-        *rest,
-        *[F.when(missing[f], value[f]).otherwise(F.col(f)).alias(f) for f in value],
-        F.array_compact(F.array(*[F.when(missing[f], F.lit(f)) for f in value])).alias("patched_fields"),
+    # The list of patched fields stands before the new values: a name inside a
+    # lambda would otherwise mean the alias defined earlier in the same select.
+    patched = F.array_compact(F.array(*[F.when(missing[f], F.lit(f)) for f in value])).alias("patched_fields")
+    filled = j.select(
+        *rest, patched, *[F.when(missing[f], value[f]).otherwise(F.col(f)).alias(f) for f in value]
     )
+    return filled.select(*rest, *value, "patched_fields")
 
 
 def fill_after_extraction(df: DataFrame, name: str = "name", website: str = "website") -> DataFrame:

@@ -125,7 +125,7 @@ def new_extractions(content: DataFrame, memo: DataFrame, entity: str, text: str)
 
 PROGRESS_SCHEMA = (
     "run_key string, last_id bigint, processed bigint, linked bigint, unmatched bigint, skipped bigint, "
-    "errors bigint, status string, batch_no int"
+    "errors bigint, status string, batch_no int, step bigint"
 )
 
 
@@ -148,7 +148,7 @@ def load_progress(spark: SparkSession, path: str, run_key: str) -> dict | None:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    row = rows.filter(F.col("run_key") == run_key).orderBy(F.desc("batch_no"), F.desc("processed")).first()
+    row = rows.filter(F.col("run_key") == run_key).orderBy(F.desc("step")).first()
     return None if row is None else row.asDict()
 
 
@@ -162,12 +162,15 @@ def run_batches(df: DataFrame, key: str, path: str, run_key: str, work: Callable
     spark = df.sparkSession
     names = ["processed", "linked", "unmatched", "skipped", "errors"]
     known = load_progress(spark, path, run_key) if not dry_run else None
-    start = {"last_id": None, **{n: 0 for n in names}, "batch_no": known["batch_no"] + 1 if known else 0}
+    start = {
+        "last_id": None, **{n: 0 for n in names},
+        "batch_no": known["batch_no"] + 1 if known else 0, "step": known["step"] if known else 0,
+    }
     state = known if known and resume and known["status"] != "completed" else start
     done = 0
 
     def store(status: str) -> None:
-        state["status"], state["run_key"] = status, run_key
+        state["status"], state["run_key"], state["step"] = status, run_key, state["step"] + 1
         if not dry_run:
             row = [tuple(state.get(c.split()[0]) for c in PROGRESS_SCHEMA.split(", "))]
             spark.createDataFrame(row, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(path)
