@@ -130,12 +130,12 @@ FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url FROM pages) p
 """
 
 VIEWS["fx_image"] = """
-SELECT page_id AS entity_id, pos, concat('https://cdn.example.com/', CASE (page_id + pos) % 12 WHEN 0 THEN 'site-logo.png' WHEN 1 THEN 'campus-aerial.jpg' WHEN 2 THEN 'lecture.webp'
+SELECT entity_id, pos, concat('https://cdn.example.com/', CASE (entity_id + pos * (entity_id % 3)) % 12 WHEN 0 THEN 'site-logo.png' WHEN 1 THEN 'campus-aerial.jpg' WHEN 2 THEN 'lecture.webp'
          WHEN 3 THEN 'main-building.JPG' WHEN 4 THEN 'favicon.ico' WHEN 5 THEN 'tower.gif' WHEN 6 THEN 'photo.jpeg' WHEN 7 THEN 'crest.svg' WHEN 8 THEN 'image?id=9' WHEN 9 THEN 'hall.svg' WHEN 10 THEN 'thumbnail.png' ELSE 'library.png' END,
          CASE WHEN pos > 2 THEN concat('?v=', CAST(pos AS STRING)) ELSE '' END) AS url,
-       CASE WHEN (page_id + pos) % 9 = 0 THEN 'text/html' ELSE 'image/png' END AS content_type,
-       CASE WHEN (page_id + pos) % 5 = 0 THEN 1200 WHEN (page_id + pos) % 5 = 1 THEN NULL ELSE 90000 END AS content_length
-FROM (SELECT p.page_id, CAST(n.n_nationkey AS INT) AS pos FROM pages p JOIN nation n ON n.n_nationkey < p.page_id % 25) x
+       CASE WHEN (entity_id + pos) % 9 < 4 THEN 'text/html' ELSE 'image/png' END AS content_type,
+       CASE WHEN (entity_id + pos) % 5 < 3 THEN 1200 WHEN (entity_id + pos) % 5 = 3 THEN NULL ELSE 90000 END AS content_length
+FROM (SELECT o_custkey AS entity_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS pos FROM orders) x
 """
 
 VIEWS["fx_call"] = """
