@@ -19,7 +19,7 @@ def link_scope(scope: DataFrame, programs: DataFrame, courses: DataFrame) -> Dat
 
 def backfill(scope: DataFrame, programs: DataFrame, courses: DataFrame, known: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Updated edge tables and counters of a run over a scope."""
-    linked = link_scope(scope, programs, courses)
+    linked = durable(link_scope(scope, programs, courses))  # read by edges and counters
     new = build_edges(scope, matched_courses(linked))
     out = {n: add_edges(known[n], e) if n in known else e for n, e in new.items()}
     return {**out, "counters": backfill_counters(scope, linked)}
@@ -27,8 +27,9 @@ def backfill(scope: DataFrame, programs: DataFrame, courses: DataFrame, known: d
 
 def unmatched_report(scope: DataFrame, programs: DataFrame, courses: DataFrame) -> dict[str, DataFrame]:
     """Raw unmatched pairs, their ranking and the counters; read-only."""
-    linked = link_scope(scope, programs, courses)
-    raw = unmatched_programs(linked).join(scope.select("entity_id", F.col("name").alias("entity_name"), "country_id"), "entity_id")
+    linked = durable(link_scope(scope, programs, courses))
+    named = scope.select("entity_id", F.col("name").alias("entity_name"), "country_id")
+    raw = durable(unmatched_programs(linked).join(named, "entity_id"))
     ordered = raw.withColumn("ord", F.struct("entity_id", F.coalesce("category", F.lit("")), F.coalesce("level", F.lit(""))))
     return {"raw": raw, "ranking": unmatched_ranking(ordered), "counters": matching_counters(scope, linked)}
 

@@ -38,9 +38,15 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and cut the lineage there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write the rows as a table in the checkpoint folder and read them back.
+
+    Cuts the lineage and survives the loss of executors.  Unlike a checkpointed
+    plan the table is columnar and has a known size, so that later reads are
+    pruned and a small one can be broadcast.
+    """
+    spark, folder = df.sparkSession, work_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def spread(scan: DataFrame) -> DataFrame:
