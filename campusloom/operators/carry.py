@@ -2,16 +2,16 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one
 task.  Here a key is cut into buckets that are monotone in the order column
-(an hour of ``ts``, a block of ``position``): the local part runs per (key,
-bucket), only one summary row per bucket takes part in the per-key window, and
-the carry joins back on (key, bucket), the partitioning the rows already have.
+(an hour of ``ts``, a block of ``position``): only one summary row per bucket
+takes part in the per-key window, and what it yields opens the bucket as an
+extra row, so that the rows themselves are shuffled once, by (key, bucket).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-_BUCKET = "__bucket"
+_BUCKET, _MARK = "__bucket", "__mark"
 
 
 def running(
@@ -29,42 +29,36 @@ def running(
     ``keys`` means one global series.  Sums count NULL as 0; maxima ignore it.
     """
     sums, maxes, maxes_before = sums or {}, maxes or {}, maxes_before or {}
-    base = df.withColumn(_BUCKET, bucket)
-    for name, expr in {**sums, **maxes, **maxes_before}.items():
-        base = base.withColumn(f"__v_{name}", expr)
-
+    values = {**sums, **maxes, **maxes_before}
+    base = df.select(
+        "*", bucket.alias(_BUCKET), F.lit(1).alias(_MARK), *[c.alias(f"__v_{n}") for n, c in values.items()]
+    )
     part = [*keys, _BUCKET]
-    local = W.partitionBy(*part).orderBy(*order)
-    upto = local.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = local.rowsBetween(W.unboundedPreceding, -1)
-
     totals = base.groupBy(*part).agg(
-        *[F.sum(F.coalesce(F.col(f"__v_{n}"), F.lit(0))).alias(f"__t_{n}") for n in sums],
-        *[F.max(f"__v_{n}").alias(f"__t_{n}") for n in (*maxes, *maxes_before)],
+        *[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums],
+        *[F.max(f"__v_{n}").alias(f"__v_{n}") for n in (*maxes, *maxes_before)],
     )
     earlier = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(_BUCKET).rowsBetween(
         W.unboundedPreceding, -1
     )
-    carry = totals.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col(_BUCKET).alias("__kb"),
-        *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__c_{n}") for n in sums],
-        *[F.max(f"__t_{n}").over(earlier).alias(f"__c_{n}") for n in (*maxes, *maxes_before)],
+    # One extra row opens each bucket with what came before it, so the window
+    # inside the bucket already yields the values of the whole key: the rows
+    # are shuffled once and nothing is joined back.
+    opening = totals.select(
+        *part, F.lit(0).alias(_MARK),
+        *[F.sum(f"__v_{n}").over(earlier).alias(f"__v_{n}") for n in sums],
+        *[F.max(f"__v_{n}").over(earlier).alias(f"__v_{n}") for n in (*maxes, *maxes_before)],
     )
-    on = F.col(_BUCKET).eqNullSafe(F.col("__kb"))
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-
-    out = base.join(carry, on, "left")
+    local = W.partitionBy(*part).orderBy(F.col(_MARK), *order)
+    upto = local.rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = local.rowsBetween(W.unboundedPreceding, -1)
     added = [
-        *[
-            (F.sum(F.coalesce(F.col(f"__v_{n}"), F.lit(0))).over(upto) + F.col(f"__c_{n}")).alias(n)
-            for n in sums
-        ],
-        *[F.greatest(F.max(f"__v_{n}").over(upto), F.col(f"__c_{n}")).alias(n) for n in maxes],
-        *[F.greatest(F.max(f"__v_{n}").over(before), F.col(f"__c_{n}")).alias(n) for n in maxes_before],
+        *[F.sum(F.coalesce(F.col(f"__v_{n}"), F.lit(0))).over(upto).alias(n) for n in sums],
+        *[F.max(f"__v_{n}").over(upto).alias(n) for n in maxes],
+        *[F.max(f"__v_{n}").over(before).alias(n) for n in maxes_before],
     ]
-    return out.select(*[F.col(c) for c in df.columns], *added)
+    both = base.unionByName(opening, allowMissingColumns=True)
+    return both.select(*[F.col(c) for c in df.columns], _MARK, *added).filter(F.col(_MARK) == 1).drop(_MARK)
 
 
 def arrival_number(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str = "arrival_no") -> DataFrame:

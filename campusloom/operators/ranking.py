@@ -195,18 +195,20 @@ def _free_suffix(rows: DataFrame, taken: DataFrame, block: int) -> DataFrame:
     number of i with t_i - i <= k; that number is a running count over both
     sorted together.
     """
+    types = dict(rows.dtypes)
     gaps = (
         arrival_number(taken, ["base"], ["suffix"], F.floor(F.col("suffix") / block), "i")
-        .select("base", (F.col("suffix") - F.col("i") + 1).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("rid"))
+        .select(
+            "base", (F.col("suffix") - F.col("i") + 1).alias("at"), F.lit(0).alias("kind"),
+            F.lit(None).cast(types["id"]).alias("id"), F.lit(None).cast(types["__ord"]).alias("__ord"),
+        )
     )
-    wanted = rows.select("base", (F.col("arrival_no") - 1).alias("at"), F.lit(1).alias("kind"), F.col("id").alias("rid"))
+    wanted = rows.select("base", (F.col("arrival_no") - 1).alias("at"), F.lit(1).alias("kind"), "id", "__ord")
     both = running(
         gaps.unionByName(wanted), ["base"], ["at", "kind"], F.floor(F.col("at") / block),
         sums={"skipped": 1 - F.col("kind")},
     )
-    return both.filter("kind = 1").select(
-        F.col("rid").alias("id"), "base", (F.col("at") + F.col("skipped")).alias("suffix")
-    )
+    return both.filter("kind = 1").select("id", "__ord", "base", (F.col("at") + F.col("skipped")).alias("suffix"))
 
 
 def assign_slugs(new: DataFrame, existing: DataFrame, key: str, name: str, order: str, bucket: Column, block: int = 100_000) -> DataFrame:
@@ -215,12 +217,12 @@ def assign_slugs(new: DataFrame, existing: DataFrame, key: str, name: str, order
     Existing slugs are skipped.  When the numbered slug of one base is the base
     of another new record, the earlier arrival keeps it: each pass blocks, per
     family of bases, the loser that arrives first, until no two records share
-    a slug.  Passes are checkpointed; none is needed without such a clash.
+    a slug.  Each pass is written; a second one is only needed after a clash.
     """
-    rows = arrival_number(
-        new.select(F.col(key).alias("id"), F.col(order).alias("__ord"), slugify(F.col(name)).alias("base"), bucket.alias("__b")),
-        ["base"], ["__ord", "id"], F.col("__b"),
-    ).drop("__b")
+    named = new.select(
+        F.col(key).alias("id"), F.col(order).alias("__ord"), slugify(F.col(name)).alias("base"), bucket.alias("__b")
+    )
+    rows = durable(arrival_number(named, ["base"], ["__ord", "id"], F.col("__b")).drop("__b"))
     bases = rows.select("base").distinct()
 
     def as_suffix(df: DataFrame, slug: str) -> DataFrame:
@@ -235,8 +237,7 @@ def assign_slugs(new: DataFrame, existing: DataFrame, key: str, name: str, order
     blocked = as_suffix(existing.select("slug").distinct(), "slug").join(bases, "base", "left_semi").distinct()
     slug = F.when(F.col("suffix") == 0, F.col("base")).otherwise(F.concat_ws("-", F.col("base"), F.col("suffix").cast("string")))
     while True:
-        out = _free_suffix(rows, blocked, block).withColumn("slug", slug)
-        out = out.join(rows.select("id", "__ord"), "id")
+        out = durable(_free_suffix(rows, blocked, block).withColumn("slug", slug))
         shared = out.groupBy("slug").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("slug")
         rivals = out.join(shared, "slug")
         losers = rivals.withColumn("rn", F.row_number().over(W.partitionBy("slug").orderBy("__ord", "id"))).filter("rn > 1")
