@@ -12,11 +12,12 @@ def log(spark, tmp_path_factory):
     """Crawl events of 12 domains, one of them hot, in four files by time."""
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     domain = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), (F.col("user_id") % 11).cast("string")))
-    bad = F.col("event_type").isin("error", "view")
+    k = F.col("event_id") % 5
+    bad = F.col("event_id") % 6 != 0
     rows = e.select(
         "event_id", "ts", domain.alias("domain"),
-        F.when(~bad, 200).when(F.col("value") < 40, 403).when(F.col("value") < 80, None).otherwise(500).alias("status_code"),
-        F.when(bad & (F.col("value") >= 40) & (F.col("value") < 80), "ETIMEDOUT").alias("error"),
+        F.when(~bad, 200).when(k < 2, 403).when(k < 4, None).otherwise(500).alias("status_code"),
+        F.when(bad & ((k == 2) | (k == 3)), "ETIMEDOUT").alias("error"),
         F.when(F.col("event_id") % 4 == 0, "ok").when(F.col("event_id") % 7 == 0, "limited").otherwise("failed").alias("result"),
         F.when(F.col("event_id") % 14 == 0, 90_000).otherwise(0).alias("retry_after_ms"),
         F.repeat(F.concat("event_type", (F.col("user_id") % 3).cast("string")), 60).alias("text"),
