@@ -53,8 +53,7 @@ def structural_score() -> Column:
     total = F.lit(0.55)
     for p in parts:
         total = total + p
-    # All points are hundredths; rounding removes what binary sums add.
-    return F.least(F.lit(0.97), F.round(total, 2))
+    return F.least(F.lit(0.97), total)
 
 
 def structural_issues() -> Column:
@@ -89,14 +88,15 @@ def blended_score(structural: Column, model: Column, trusted_model: Column, n_ha
     m = F.coalesce(F.nullif(model, F.lit(0.0)), structural)
     real = F.coalesce(trusted_model, F.lit(False)) & (m != 0.5)
     mixed = F.when(real, m * 0.55 + structural * 0.45).otherwise(structural * 0.85 + m * 0.15)
-    minus = (
-        F.when(_text("description") == 0, 0.12).otherwise(0.0)
-        + F.when(list_size(F.col("programs")) == 0, 0.06).otherwise(0.0)
-        + F.when(_text("country") == 0, 0.05).otherwise(0.0)
-        + F.coalesce(n_hallucinations, F.lit(0)) * 0.08
+    score = (
+        mixed
+        - F.when(_text("description") == 0, 0.12).otherwise(0.0)
+        - F.when(list_size(F.col("programs")) == 0, 0.06).otherwise(0.0)
+        - F.when(_text("country") == 0, 0.05).otherwise(0.0)
+        - F.coalesce(n_hallucinations, F.lit(0)) * 0.08
     )
-    # Nine digits first, so that a binary 0.6904999.. of a sum counts as 0.6905.
-    return clamp(F.round(F.round(mixed - minus, 9), 3), 0.0, 0.98)
+    # Three digits by the binary value, as a fixed-digits format rounds it.
+    return clamp(F.floor(score * 1000 + 0.5) / 1000, 0.0, 0.98)
 
 
 def decide(df: DataFrame) -> DataFrame:

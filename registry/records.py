@@ -388,11 +388,11 @@ def required_fields(t):
     return t.record().select("entity_id", F.array_join(Q.missing_required(), ",").alias("missing"))
 
 
-_SCORE = """least(0.97, round(0.55 + CASE WHEN length(description) >= 150 THEN 0.1 WHEN length(description) >= 80 THEN 0.07 WHEN length(description) >= 40 THEN 0.03 ELSE 0 END
+_SCORE = """least(0.97, CAST(0.55 AS DOUBLE) + CASE WHEN length(description) >= 150 THEN 0.1 WHEN length(description) >= 80 THEN 0.07 WHEN length(description) >= 40 THEN 0.03 ELSE 0 END
  + CASE WHEN coalesce(city, '') <> '' THEN 0.04 ELSE 0 END + CASE WHEN coalesce(country, '') <> '' THEN 0.05 ELSE 0 END
  + CASE WHEN np >= 5 THEN 0.08 WHEN np >= 3 THEN 0.06 WHEN np >= 1 THEN 0.03 ELSE 0 END + CASE WHEN nq >= 4 THEN 0.05 WHEN nq >= 2 THEN 0.03 WHEN nq >= 1 THEN 0.01 ELSE 0 END
  + CASE WHEN ni >= 2 THEN 0.04 WHEN ni >= 1 THEN 0.02 ELSE 0 END + CASE WHEN coalesce(tuition_fee, '') <> '' THEN 0.04 ELSE 0 END + CASE WHEN coalesce(total_students, '') <> '' THEN 0.02 ELSE 0 END
- + CASE WHEN coalesce(qs_ranking, 0) <> 0 THEN 0.02 ELSE 0 END + CASE WHEN coalesce(acceptance_rate, 0) <> 0 THEN 0.02 ELSE 0 END + CASE WHEN ns >= 1 THEN 0.01 ELSE 0 END, 2))"""
+ + CASE WHEN coalesce(qs_ranking, 0) <> 0 THEN 0.02 ELSE 0 END + CASE WHEN coalesce(acceptance_rate, 0) <> 0 THEN 0.02 ELSE 0 END + CASE WHEN ns >= 1 THEN 0.01 ELSE 0 END)"""
 
 
 @query("Q2", f"SELECT entity_id, round(CAST({_SCORE} AS DOUBLE), 6) AS score FROM {_REC}")
@@ -423,8 +423,8 @@ def _model(t):
     )
 
 
-_DECIDED = """(SELECT *, CASE WHEN crit THEN 0.15 WHEN s >= 0.82 THEN s ELSE greatest(0.0, least(0.98, round(round(CASE WHEN weak OR v = 0.5 THEN s * 0.85 + v * 0.15 ELSE v * 0.55 + s * 0.45 END
-   - CASE WHEN coalesce(length(description), 0) = 0 THEN 0.12 ELSE 0.0 END - CASE WHEN np = 0 THEN 0.06 ELSE 0.0 END - CASE WHEN coalesce(length(country), 0) = 0 THEN 0.05 ELSE 0.0 END - CASE WHEN entity_id % 6 <> 0 AND entity_id % 10 = 0 THEN 0.16 ELSE 0.0 END, 9), 3))) END AS score
+_DECIDED = """(SELECT *, CASE WHEN crit THEN 0.15 WHEN s >= 0.82 THEN s ELSE greatest(0.0, least(0.98, round(CASE WHEN weak OR v = 0.5 THEN s * 0.85 + v * 0.15 ELSE v * 0.55 + s * 0.45 END
+   - CASE WHEN coalesce(length(description), 0) = 0 THEN 0.12 ELSE 0.0 END - CASE WHEN np = 0 THEN 0.06 ELSE 0.0 END - CASE WHEN coalesce(length(country), 0) = 0 THEN 0.05 ELSE 0.0 END - CASE WHEN entity_id % 6 <> 0 AND entity_id % 10 = 0 THEN 0.16 ELSE 0.0 END, 3))) END AS score
  FROM (SELECT *, CASE WHEN m IS NULL OR m = 0 THEN s WHEN weak THEN greatest(s, 0.55) ELSE m END AS v FROM
  (SELECT *, CASE WHEN entity_id % 6 <> 0 THEN (entity_id % 100) / 100.0 END AS m, entity_id % 6 <> 0 AND (entity_id % 13 = 0 OR entity_id % 100 = 50) AS weak, CAST({score} AS DOUBLE) AS s, coalesce({rank}, false) OR coalesce({rate}, false) AS crit FROM {rec}) a) b) d"""
 _D = _DECIDED.format(score=_SCORE, rank=_RANK_BAD, rate=_RATE_BAD, rec=_REC)
