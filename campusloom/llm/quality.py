@@ -105,16 +105,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows:
     return fit(x, rows["label"].to_numpy(float))
 
 
-def score(docs: DataFrame, model: Trees, threshold: float = 0.3) -> DataFrame:
-    """docs (all columns) with score and predicted."""
-    schema = docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
+def score(docs: DataFrame, model: Trees, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs (all columns) with the score and the prediction under `names`; columns of these names are replaced."""
+    docs = docs.drop(*names)
+    schema = docs.withColumns({names[0]: F.lit(0.0), names[1]: F.lit(0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(k, _ROWS)
                 scores = model.scores(text_statistics(part.column("text").to_pylist()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], [*part.schema.names, "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], [*part.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
