@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .shared import cut
 from .tokens import encoder
 
+_ROWS = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -37,18 +38,18 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int | None =
         enc = encoder(vocabulary)
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            rows: list[list[int]] = [[], [], [], [], []]
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                ids = enc.encode(text) + end
-                n = len(ids) // 4
-                first = (n - 1) % capacity + 1 if n else 0
-                cuts = [0, *range(first, n + 1, capacity)] if n else []
-                for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    for column, value in zip(rows, (k, piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b])), strict=True):
-                        column.append(value)
-            ids_of = batch.column("doc_id").take(pa.array(rows[0], pa.int64()))
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids_of, *map(pa.array, rows[1:], types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            for k in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(k, _ROWS)
+                rows: list[tuple[int, ...]] = []
+                for row, ids in enumerate(enc.encode(part.column("text").to_pylist())):
+                    ids += end
+                    n = len(ids) // 4
+                    cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)] if n else []
+                    rows += [(row, piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for piece, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+                columns = list(zip(*rows)) if rows else [()] * 5
+                types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                ids_of = part.column("doc_id").take(pa.array(columns[0], pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids_of, *map(pa.array, columns[1:], types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 

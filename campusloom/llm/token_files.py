@@ -35,7 +35,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int | None = None) -> DataF
         for batch in batches:
             for k in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(k, _ROWS)
-                ids = [enc.encode(t) + end for t in part.column("text").to_pylist()]
+                ids = [x + end for x in enc.encode(part.column("text").to_pylist())]
                 bounds = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(bounds, pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("chunk"), lists], ["doc_id", "chunk", "ids"])

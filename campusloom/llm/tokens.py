@@ -3,20 +3,37 @@
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_MOST_KEPT = 300_000
+_MOST_KEPT = 600_000
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_USUAL = re.compile(f"[\\x21-\\x7e{_LETTERS}]+")
+_ODD_STOP = re.compile(f"[^{_LETTERS}0-9][,.][ \\n]")
+#: The file's pattern for text without white space but a first space, over usual characters.
+_PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
+
+
+def _byte_signs() -> dict[int, str]:
+    """Byte-level files write a printable byte as its Latin-1 character and the others, in order, from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_SIGNS = _byte_signs()
 
 
 class TextEncoder:
     """Encodes texts with a byte-level BPE file whose pattern never joins two words over a single space.
 
     In a text whose only white space is single spaces and line ends between words, every space
-    starts a new part and a line end is a part of its own, so that " word" can be encoded alone
-    and kept. Any other text goes to the library whole. The kept words are bounded and start
-    anew when full. Strings of special tokens in a text are ordinary text.
+    starts a new part and a line end is a part of its own, so that " word" has the same ids in
+    every such text and is kept. Words of usual characters are split by the file's pattern here and
+    merged by the library's model; any other word or text goes to the library whole. The kept
+    words are bounded and start anew when full. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -24,35 +41,56 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.merge = self.tokenizer.model.tokenize
         self.kept = _Kept(self)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of the text; null and empty texts have none."""
-        if not text:
-            return b""
-        parts = text.replace("\n", " \n").split(" ")
-        if _OTHER_SPACE.search(text) or "" in parts or "\n" in parts:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; null and empty texts have none."""
+        out, get = [], self.kept.__getitem__
+        for text in texts:
+            if len(self.kept) > _MOST_KEPT:
+                self.kept.clear()
+            parts = self._parts(text) if text else []
+            out.append(self.whole(text) if parts is None else b"".join(map(get, parts)))
+        return out
+
+    def _parts(self, text: str) -> list[str] | None:
+        """Words, line ends and the stops after words, or none if the text is not of the form above.
+
+        What follows a space in the text is given as it is, anything else with \\r before it.
+        """
+        if _OTHER_SPACE.search(text):
+            return None
+        if not _ODD_STOP.search(text):
+            text = text.replace(", ", " \r, ").replace(". ", " \r. ").replace(".\n", " \r.\n")
+        parts = ("\r" + text.replace("\n", " \r\n \r")).split(" ")
+        return None if "" in parts or "\r" in parts else parts
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word in the form of _parts."""
+        text = word[1:] if word[0] == "\r" else " " + word
+        rest = text.removeprefix(" ")
+        if not _USUAL.fullmatch(rest):
             return self.whole(text)
-        if len(self.kept) > _MOST_KEPT:
-            self.kept.clear()
-        return self.whole(parts[0]) + b"".join(map(self.kept.__getitem__, parts[1:]))
+        pieces = [text] if rest.isalpha() else _PIECES.findall(text)
+        if len(pieces) > 1:
+            return b"".join(self.kept[p[1:] if p[0] == " " else "\r" + p] for p in pieces)
+        signs = text.replace(" ", "\u0120") if text.isascii() else text.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self.merge(signs)]).tobytes()
 
 
 class _Kept(dict):
+    """Ids by word, made when first asked for."""
+
     def __init__(self, encoder: TextEncoder):
         self.encoder = encoder
 
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():  # one part for the merges; the space is mapped as the file's pre-tokenizer maps it
-            ids = [t.id for t in self.encoder.model.tokenize("Ġ" + word)]
-            out = self[word] = np.array(ids, "<u4").tobytes()
-        else:
-            out = self[word] = self.encoder.whole(word if word[0] == "\n" else " " + word)
-        return out
+        ids = self[word] = self.encoder.word(word)
+        return ids
 
 
 _encoders: dict[str, TextEncoder] = {}
