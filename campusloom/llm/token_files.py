@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import cut
 from .tokens import encoder
 
 FORMAT = "doc_id long, chunk int, ids array<int>"
@@ -56,7 +57,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None =
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.create.index", "true")
         .option("orc.stripe.size", str(stripe_bytes))
-        .option("compression", "zstd")
+        .option("compression", "snappy")
         .orc(path)
     )
 
@@ -83,14 +84,15 @@ def digests(files: DataFrame) -> DataFrame:
 def positions(files: DataFrame) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    One row per file meets in a small window; a second window runs within a file.
+    The files are read once, into a table of four numbers a document. One row per file meets in a
+    small window; a second window runs within a file.
     """
-    totals = files.groupBy("chunk").agg(F.sum(F.size("ids")).alias("total"))
+    sized = cut(digests(files), "digests")
+    totals = sized.groupBy("chunk").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("chunk", (F.sum("total").over(Window.orderBy("chunk")) - F.col("total")).alias("before"))
     inside = Window.partitionBy("chunk").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        digests(files)
-        .join(before, "chunk")
+        sized.join(before, "chunk")
         .withColumn("start", F.col("before") + F.sum("n_tokens").over(inside) - F.col("n_tokens"))
         .select("doc_id", "start", "n_tokens", "ids_crc32")
     )
