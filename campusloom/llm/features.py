@@ -35,7 +35,7 @@ def _distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.diff(upto(first)), np.diff(bounds) - np.diff(upto(alone))
 
 
-def text_statistics(texts: list[str | None], chunk_bytes: int = 4 << 20) -> np.ndarray:
+def text_statistics(texts: list[str | None], chunk_bytes: int = 1 << 20) -> np.ndarray:
     """One row of NAMES per text; null counts as empty. Empty texts have zeros."""
     encoded = [(t or "").encode("utf-8", "replace") for t in texts]
     parts = [_statistics(encoded[a:b]) for a, b in chunks([len(t) for t in encoded], chunk_bytes)]

@@ -13,8 +13,8 @@ Blocks are hashed parts of a source of bounded size, so a source of any size is
 The random numbers come from the source's place, round and block: reruns agree.
 
 Null and empty texts have size 0 and are taken 0 times. A null source is a source of its own.
-Repeated rows are documents of their own. Extra columns stay; names used by this module start
-with `_mix_`. No rows give no rows.
+Repeated rows are documents of their own. Extra columns stay, but those named like a result are
+replaced; other names used here start with `_mix_`. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from .shared import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
+RESULT = ("place", "n_docs", "source_size", "target", "copies", "taken")
 
 
 def n_words(text: Column) -> Column:
@@ -116,7 +117,8 @@ def mix_sources(docs: DataFrame, size: Column | None = None, weights: tuple[floa
 
     The size is the number of words of `text` unless given; docs are read three times.
     """
-    sized = docs.withColumn("size", n_words(F.col("text")) if size is None else size)
+    sized = docs.withColumn("size", n_words(F.col("text")) if size is None else size).drop(*RESULT)
+    docs = docs.drop("size", *RESULT)
     goals = cut(targets(sized, weights, share, most), "mix-goals")
     # Each document meets its source's goal in one of many copies of it, so that a hot source is no hot key.
     salts = 64
@@ -152,4 +154,4 @@ def mix_sources(docs: DataFrame, size: Column | None = None, weights: tuple[floa
     same = Window.partitionBy("place", "_mix_row").orderBy("doc_id")
     gets = F.row_number().over(same) <= F.coalesce("_mix_extra", F.lit(0.0))
     out = out.withColumn("copies", (F.col("_mix_base") + gets.cast("long")).cast("long"))
-    return out.select(*(c for c in docs.columns if c != "size"), "place", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select(*docs.columns, "place", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

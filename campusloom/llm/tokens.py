@@ -8,7 +8,7 @@ from array import array
 import numpy as np
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_MOST_KEPT = 600_000
+_MOST_KEPT = 1_200_000  # about 250 MB
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _USUAL = re.compile(f"[\\x21-\\x7e{_LETTERS}]+")
 _ODD_STOP = re.compile(f"[^{_LETTERS}0-9][,.][ \\n]")
@@ -89,7 +89,11 @@ class _Kept(dict):
         self.encoder = encoder
 
     def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.encoder.word(word)
+        if word.isascii() and word.isalpha():
+            ids = array("I", [t.id for t in self.encoder.merge("\u0120" + word)]).tobytes()
+        else:
+            ids = self.encoder.word(word)
+        self[word] = ids
         return ids
 
 

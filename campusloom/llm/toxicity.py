@@ -33,7 +33,7 @@ _GAPS = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
 _SPACE = np.array([b == 32 for b in range(256)])
 
 
-def hashed_terms(texts: list[str | None], chunk_bytes: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+def hashed_terms(texts: list[str | None], chunk_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """(places, bounds): the different places of each text, ascending."""
     encoded = [(t or "").lower().encode("utf-8", "replace").translate(_GAPS) for t in texts]
     places, counts = [], [np.zeros(1, np.int64)]
