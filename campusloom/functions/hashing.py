@@ -11,9 +11,9 @@ def content_key(text: Column) -> Column:
     return F.md5(text)
 
 
-def extraction_key(text: Column, chars: int = 10000) -> Column:
-    """Memo key of an extraction: the hash of the opening of the content."""
-    return F.md5(F.left(text, F.lit(chars)))
+def extraction_key(text: Column) -> Column:
+    """Memo key of an extraction: the hash of the whole content."""
+    return F.md5(text)
 
 
 def external_key(name: Column) -> Column:

@@ -129,24 +129,24 @@ def script_language(sample: Column) -> Column:
 
 
 def is_non_english(text: Column) -> Column:
-    """Foreign script within the first 500 characters of a text of 100 or more."""
-    return F.coalesce((F.length(text) >= 100) & script_language(F.left(text, F.lit(500))).isNotNull(), F.lit(False))
+    """Foreign script anywhere in a text of 100 characters or more."""
+    return F.coalesce((F.length(text) >= 100) & script_language(text).isNotNull(), F.lit(False))
 
 
 def page_language(lang_attr: Column, body_text: Column) -> Column:
     declared = F.coalesce(lang_attr, F.lit(""))
     return F.when(
         (declared != "") & ~declared.startswith("en"), F.split_part(declared, F.lit("-"), F.lit(1))
-    ).otherwise(script_language(F.left(body_text, F.lit(500))))
+    ).otherwise(script_language(body_text))
 
 
 def boilerplate_line(line: Column) -> Column:
-    t = F.trim(line)
+    t = F.regexp_replace(line, r"^\s+|\s+$", "")
     starts = "|".join([*rules.BOILERPLATE_STARTS, *rules.BOILERPLATE_SITES])
     return (F.length(t) < 3) | t.rlike(f"(?i)^(?:{starts})") | t.rlike(rules.SEPARATOR_LINE)
 
 
-def drop_boilerplate(text: Column, max_chars: int | None = 20000) -> Column:
+def drop_boilerplate(text: Column, max_chars: int | None = None) -> Column:
     """Keep content lines, collapse white space, optional length limit."""
     kept = F.array_join(F.filter(F.split(text, "\n"), lambda l: ~boilerplate_line(l)), "\n")
     flat = F.regexp_replace(F.regexp_replace(F.replace(kept, F.lit("\t"), F.lit(" ")), r" {3,}", " "), r"\n{4,}", "\n\n\n")

@@ -89,7 +89,7 @@ def page_text(html: str | None) -> str:
     return main if len(main) > 200 else "".join(r.body_parts)
 
 
-def clean_pages(pages: DataFrame, html: str = "html", name: str = "cleaned_text", max_chars: int | None = 20000) -> DataFrame:
+def clean_pages(pages: DataFrame, html: str = "html", name: str = "cleaned_text", max_chars: int | None = None) -> DataFrame:
     """Add the readable text of each page.
 
     Only the html parser runs in Python, in Arrow batches; the line filters

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campusloom import rules
-from campusloom.functions.basics import clamp, list_size
+from campusloom.functions.basics import bound, clamp, list_size
 
 
 def _text(c: str) -> Column:
@@ -83,6 +85,22 @@ def is_critical(issues: Column) -> Column:
     return F.exists(issues, lambda i: i.startswith("CRITICAL:"))
 
 
+#: By k, whether the double nearest to k + 1/2 thousandths is not below it: such midpoints round up.
+_MIDPOINTS_UP = "".join(str(int(Fraction((2 * k + 1) / 2000) >= Fraction(2 * k + 1, 2000))) for k in range(1000))
+
+
+def three_digits(score: Column) -> Column:
+    """A score from 0 to 1 with three digits, rounded by its exact binary value; true ties go up."""
+
+    def rounded(x: Column) -> Column:
+        k = F.floor(x * 1000)
+        middle = (2 * k + 1) / F.lit(2000.0)
+        tie_up = F.substring(F.lit(_MIDPOINTS_UP), k.cast("int") + 1, F.lit(1)) == "1"
+        return (k + F.when((x > middle) | ((x == middle) & tie_up), 1).otherwise(0)) / 1000
+
+    return bound(score, rounded)
+
+
 def blended_score(structural: Column, model: Column, trusted_model: Column, n_hallucinations: Column) -> Column:
     """Model and structure weighted, minus penalties, 0 .. 0.98."""
     m = F.coalesce(F.nullif(model, F.lit(0.0)), structural)
@@ -95,8 +113,7 @@ def blended_score(structural: Column, model: Column, trusted_model: Column, n_ha
         - F.when(_text("country") == 0, 0.05).otherwise(0.0)
         - F.coalesce(n_hallucinations, F.lit(0)) * 0.08
     )
-    # Three digits by the binary value, as a fixed-digits format rounds it.
-    return clamp(F.floor(score * 1000 + 0.5) / 1000, 0.0, 0.98)
+    return three_digits(clamp(score, 0.0, 0.98))
 
 
 def decide(df: DataFrame) -> DataFrame:

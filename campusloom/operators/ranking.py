@@ -138,31 +138,38 @@ def preprocess_content(text: Column) -> Column:
     )
 
 
-def assemble_content(pages: DataFrame, entity: str, position: str, text: str, minimum: int = 80, limit: int = 50_000) -> DataFrame:
-    """One text per record: distinct page texts, keyword pages first, cut at the limit.
+def assemble_content(pages: DataFrame, entity: str, position: str, text: str, minimum: int = 80, limit: int | None = None) -> DataFrame:
+    """One text per record: all distinct page texts, keyword pages first.
 
-    Every kept text takes more than ``minimum`` characters, so no page beyond
-    the first limit/minimum can reach the result and groups stay bounded.
+    With a limit the text is cut there.  Every kept text takes more than ``minimum``
+    characters, so no page beyond the first limit/minimum can then reach the result
+    and groups stay bounded.
     """
     clean = pages.select(
         F.col(entity), F.col(position).alias("__pos"), F.regexp_replace(text, r"^\s+|\s+$", "").alias("__t")
     ).filter(F.length("__t") > minimum)
     once = best_per_key(clean.withColumn("__h", F.sha2("__t", 256)), [entity, "__h"], ["__pos"])
     order = F.when(F.col("__t").rlike(rules.PRIORITY_TEXT), 0).otherwise(1)
-    near = top_per_group(once.withColumn("__prio", order), [entity], ["__prio", "__pos"], limit // minimum + 1, "__n")
+    once = once.withColumn("__prio", order)
+    if limit is None:
+        near = once.withColumn("__n", F.row_number().over(W.partitionBy(entity).orderBy("__prio", "__pos")))
+    else:
+        near = top_per_group(once, [entity], ["__prio", "__pos"], limit // minimum + 1, "__n")
     parts = F.transform("__l", lambda s: F.concat(F.format_string("[PAGE %d]\n", s["__n"]), s["__t"]))
+    whole = F.array_join(parts, "\n\n---\n\n")
     return (
         near.groupBy(entity)
         .agg(F.array_sort(F.collect_list(F.struct("__n", "__t"))).alias("__l"))
-        .select(entity, F.left(F.array_join(parts, "\n\n---\n\n"), F.lit(limit)).alias("content"))
+        .select(entity, (whole if limit is None else F.left(whole, F.lit(limit))).alias("content"))
     )
 
 
-def chunks(text: Column, size: int = 16_000, minimum: int = 100, keep: int = 3) -> Column:
-    """Array of (chunk_no, chunk): fixed size, blank ends not counted, first few."""
+def chunks(text: Column, size: int = 16_000, minimum: int = 100, keep: int | None = None) -> Column:
+    """Array of (chunk_no, chunk): fixed size, blank ends not counted; all of them, or the first ``keep``."""
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")))
     cut = F.transform(starts, lambda i: F.substring(text, i * size + 1, F.lit(size)))
-    kept = F.slice(F.filter(cut, lambda c: F.length(F.regexp_replace(c, r"^\s+|\s+$", "")) > minimum), 1, keep)
+    kept = F.filter(cut, lambda c: F.length(F.regexp_replace(c, r"^\s+|\s+$", "")) > minimum)
+    kept = kept if keep is None else F.slice(kept, 1, keep)
     return F.transform(kept, lambda c, i: F.struct((i + 1).alias("chunk_no"), c.alias("chunk")))
 
 

@@ -195,7 +195,7 @@ NOISE_CLASSES = [
     "ads", "ad-wrapper", "ad-container", "intercom-container", "sidebar", "side-bar",
     "social-share", "social-links", "breadcrumb", "breadcrumbs", "pagination",
     "newsletter", "subscribe", "wp-block-shortcode", "elementor-location-header",
-    "elementor-location-footer",
+    "elementor-location-footer", "crisp-client",
 ]
 NOISE_IDS = ["intercom-container", "crisp-chatbox", "sidebar"]
 

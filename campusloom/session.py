@@ -24,11 +24,15 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is set (tests) a temporary one is used.
+    In local mode, where driver and tasks share one disk, a temporary one is used if
+    none is set.  Elsewhere a machine's own folder would lose rows, so that is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="campusloom-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="campusloom-"))
     return sc.getCheckpointDir()
 
 

@@ -247,7 +247,7 @@ def cached_pages(t):
     return out.select("page_id", "size", "from_cache")
 
 
-@query("S12", "SELECT doc_id FROM documents WHERE md5(left(text, 10000)) NOT IN (SELECT md5(left(text, 10000)) FROM documents WHERE doc_id % 5 = 0)")
+@query("S12", "SELECT doc_id FROM documents WHERE md5(text) NOT IN (SELECT md5(text) FROM documents WHERE doc_id % 5 = 0)")
 def new_contents(t):
     d = t.documents.select(F.lit("site").alias("entity"), "doc_id", "text")
     memo = d.filter("doc_id % 5 = 0").select("entity", hashing.extraction_key(F.col("text")).alias("content_hash")).distinct()

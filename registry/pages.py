@@ -20,13 +20,14 @@ _STARTS = "|".join([*rules.BOILERPLATE_STARTS, *rules.BOILERPLATE_SITES])
 
 def _kept(text: str, limit: int | None) -> str:
     """Boilerplate filter written out."""
-    lines = f"array_to_string(list_filter(string_split({text}, chr(10)), lambda l: NOT (length(trim(l)) < 3 OR regexp_matches(trim(l), '(?i)^(?:{_STARTS})') OR regexp_matches(trim(l), '{rules.SEPARATOR_LINE}'))), chr(10))"
+    trimmed = r"regexp_replace(l, '^\s+|\s+$', '', 'g')"
+    lines = f"array_to_string(list_filter(string_split({text}, chr(10)), lambda l: NOT (length({trimmed}) < 3 OR regexp_matches({trimmed}, '(?i)^(?:{_STARTS})') OR regexp_matches({trimmed}, '{rules.SEPARATOR_LINE}'))), chr(10))"
     flat = rf"regexp_replace(regexp_replace(replace({lines}, chr(9), ' '), ' {{3,}}', ' ', 'g'), '\n{{4,}}', repeat(chr(10), 3), 'g')"
     out = rf"regexp_replace({flat}, '^\s+|\s+$', '', 'g')"
     return out if limit is None else f"left({out}, {limit})"
 
 
-@query("P9", f"SELECT doc_id, {_kept('text', 20000)} AS body FROM documents")
+@query("P9", f"SELECT doc_id, {_kept('text', None)} AS body FROM documents")
 def content_lines(t):
     return spread(t.documents.select("doc_id", "text")).select("doc_id", X.drop_boilerplate(F.col("text")).alias("body"))
 
@@ -35,7 +36,7 @@ _ART = r"""replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*
 _AD = r"""replace(replace(regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1), '&quot;', '"'), '&amp;', '&')"""
 
 
-@query("H1 H7", f"SELECT page_id, body AS cleaned_text, length(body) < 400 AS thin FROM (SELECT page_id, {_kept(f'CASE WHEN length({_ART}) > 200 THEN {_ART} ELSE {_AD} || {_ART} END', 20000)} AS body FROM pages) x")
+@query("H1 H7", f"SELECT page_id, body AS cleaned_text, length(body) < 400 AS thin FROM (SELECT page_id, {_kept(f'CASE WHEN length({_ART}) > 200 THEN {_ART} ELSE {_AD} || {_ART} END', None)} AS body FROM pages) x")
 def page_texts(t):
     c = H.clean_pages(spread(t.pages.select("page_id", "html")))
     return c.select("page_id", "cleaned_text", X.is_thin(F.col("cleaned_text")).alias("thin"))
@@ -44,13 +45,13 @@ def page_texts(t):
 @query(
     "P10",
     r"""SELECT page_id, CASE WHEN l <> '' AND NOT starts_with(l, 'en') THEN split_part(l, '-', 1) WHEN regexp_matches(b, '[\x{4e00}-\x{9fff}]') THEN 'zh' WHEN regexp_matches(b, '[\x{0600}-\x{06ff}]') THEN 'ar' WHEN regexp_matches(b, '[\x{0400}-\x{04ff}]') THEN 'ru' END AS lang
-FROM (SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS l, left(html, 500) AS b FROM pages) x""",
+FROM (SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS l, regexp_replace(html, '<[^>]*>', ' ', 'g') AS b FROM pages) x""",
 )
 def page_languages(t):
-    return t.pages.select("page_id", X.page_language(H.html_lang(F.col("html")), F.col("html")).alias("lang"))
+    return t.pages.select("page_id", X.page_language(H.html_lang(F.col("html")), F.regexp_replace("html", "<[^>]*>", " ")).alias("lang"))
 
 
-@query("P10", r"SELECT doc_id, length(text) >= 100 AND regexp_matches(left(text, 500), '[\x{4e00}-\x{9fff}\x{0600}-\x{06ff}\x{0400}-\x{04ff}]') AS foreign_script FROM documents")
+@query("P10", r"SELECT doc_id, length(text) >= 100 AND regexp_matches(text, '[\x{4e00}-\x{9fff}\x{0600}-\x{06ff}\x{0400}-\x{04ff}]') AS foreign_script FROM documents")
 def foreign_scripts(t):
     return t.documents.select("doc_id", X.is_non_english(F.col("text")).alias("foreign_script"))
 

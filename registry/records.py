@@ -423,8 +423,8 @@ def _model(t):
     )
 
 
-_DECIDED = """(SELECT *, CASE WHEN crit THEN 0.15 WHEN s >= 0.82 THEN s ELSE greatest(0.0, least(0.98, round(CASE WHEN weak OR v = 0.5 THEN s * 0.85 + v * 0.15 ELSE v * 0.55 + s * 0.45 END
-   - CASE WHEN coalesce(length(description), 0) = 0 THEN 0.12 ELSE 0.0 END - CASE WHEN np = 0 THEN 0.06 ELSE 0.0 END - CASE WHEN coalesce(length(country), 0) = 0 THEN 0.05 ELSE 0.0 END - CASE WHEN entity_id % 6 <> 0 AND entity_id % 10 = 0 THEN 0.16 ELSE 0.0 END, 3))) END AS score
+_DECIDED = """(SELECT *, CASE WHEN crit THEN 0.15 WHEN s >= 0.82 THEN s ELSE CAST(printf('%.3f', greatest(0.0, least(0.98, CASE WHEN weak OR v = 0.5 THEN s * 0.85 + v * 0.15 ELSE v * 0.55 + s * 0.45 END
+   - CASE WHEN coalesce(length(description), 0) = 0 THEN 0.12 ELSE 0.0 END - CASE WHEN np = 0 THEN 0.06 ELSE 0.0 END - CASE WHEN coalesce(length(country), 0) = 0 THEN 0.05 ELSE 0.0 END - CASE WHEN entity_id % 6 <> 0 AND entity_id % 10 = 0 THEN 0.16 ELSE 0.0 END))) AS DOUBLE) END AS score
  FROM (SELECT *, CASE WHEN m IS NULL OR m = 0 THEN s WHEN weak THEN greatest(s, 0.55) ELSE m END AS v FROM
  (SELECT *, CASE WHEN entity_id % 6 <> 0 THEN (entity_id % 100) / 100.0 END AS m, entity_id % 6 <> 0 AND (entity_id % 13 = 0 OR entity_id % 100 = 50) AS weak, CAST({score} AS DOUBLE) AS s, coalesce({rank}, false) OR coalesce({rate}, false) AS crit FROM {rec}) a) b) d"""
 _D = _DECIDED.format(score=_SCORE, rank=_RANK_BAD, rate=_RATE_BAD, rec=_REC)

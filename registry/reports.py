@@ -210,7 +210,7 @@ _SEC = ["admiss|apply|application", "tuition|fee|fees|cost|scholarship"]
 
 @query(
     "W9",
-    r"""SELECT conv_id, left(string_agg('[PAGE ' || CAST(n AS VARCHAR) || ']' || chr(10) || t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY n), 50000) AS content FROM
+    r"""SELECT conv_id, string_agg('[PAGE ' || CAST(n AS VARCHAR) || ']' || chr(10) || t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY n) AS content FROM
  (SELECT conv_id, t, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN regexp_matches(t, '(?i)admiss|tuition|fee|program|course') THEN 0 ELSE 1 END, turn) AS n FROM
   (SELECT conv_id, turn, t, row_number() OVER (PARTITION BY conv_id, t ORDER BY turn) AS k FROM (SELECT conv_id, turn, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM conversations) a WHERE length(t) > 80) b WHERE k = 1) c GROUP BY conv_id""",
 )
@@ -221,7 +221,7 @@ def assembled_content(t):
 @query(
     "W10",
     r"""SELECT doc_id, k AS chunk_no, chunk FROM (SELECT doc_id, chunk, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM
- (SELECT doc_id, i, substr(text, CAST(i * 16000 + 1 AS INTEGER), 16000) AS chunk FROM (SELECT doc_id, text, unnest(range(0, (length(text) - 1) // 16000 + 1)) AS i FROM documents WHERE length(text) > 0) a) b WHERE length(regexp_replace(chunk, '^\s+|\s+$', '', 'g')) > 100) c WHERE k <= 3""",
+ (SELECT doc_id, i, substr(text, CAST(i * 16000 + 1 AS INTEGER), 16000) AS chunk FROM (SELECT doc_id, text, unnest(range(0, (length(text) - 1) // 16000 + 1)) AS i FROM documents WHERE length(text) > 0) a) b WHERE length(regexp_replace(chunk, '^\s+|\s+$', '', 'g')) > 100) c""",
 )
 def content_chunks(t):
     c = t.documents.select("doc_id", F.explode(ranking.chunks(F.col("text"))).alias("c"))

@@ -359,7 +359,7 @@ def minimal_descriptions(t):
 
 @query(
     "V27",
-    """SELECT e.entity_id, 'Entity type: University' || chr(10) || 'University name: ' || e.name || chr(10) || 'City: N/A' || chr(10) || 'Country: ' || coalesce(c.name, 'N/A') || chr(10) || 'QS ranking: ' || CASE WHEN coalesce(e.qs_ranking, 0) > 0 THEN '#' || CAST(e.qs_ranking AS VARCHAR) ELSE 'N/A' END AS context
+    """SELECT e.entity_id, '{"record":"university","name":"' || e.name || '"' || coalesce(',"country":"' || c.name || '"', '') || CASE WHEN e.qs_ranking > 0 THEN ',"qs_ranking":' || CAST(e.qs_ranking AS VARCHAR) ELSE '' END || '}' AS context
 FROM fx_entity e LEFT JOIN fx_country c ON e.country_id = c.country_id""",
 )
 def request_contexts(t):
@@ -370,7 +370,7 @@ def request_contexts(t):
 
 @query(
     "V27",
-    """SELECT course_id, 'Entity type: Course' || chr(10) || 'Course title: ' || title || chr(10) || 'Level: ' || level || chr(10) || 'Field: ' || field AS context FROM fx_course""",
+    """SELECT course_id, '{"record":"course","title":"' || title || '","level":"' || level || '","field":"' || field || '"}' AS context FROM fx_course""",
 )
 def course_request_contexts(t):
     ctx = seo.entity_context("course", title=F.col("title"), level=F.col("level"), field=F.col("field"))

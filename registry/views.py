@@ -36,7 +36,6 @@ VIEWS["fx_program"] = """
 SELECT DISTINCT o.o_custkey AS entity_id, p.p_name AS category,
        CASE p.p_type WHEN 'ECONOMY' THEN 'Undergraduate' WHEN 'PROMO' THEN 'Postgraduate' WHEN 'STANDARD' THEN 'PhD' ELSE 'Certificate' END AS level
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
-WHERE o.o_orderkey % 10 = 0
 """
 
 VIEWS["fx_course"] = """

@@ -78,7 +78,7 @@ def test_text_helpers(spark):
     assert apply(spark, X.slugify, ["Élan & Co. (UK)", "--a  b--", "x_y"]) == ["elan-and-co-uk", "a-b", "xy"]
     assert apply(spark, X.normalize_name, ["The A-B (C) Univ., X"]) == ["the a b univ x"]
     assert apply(spark, X.name_variants, ["Foo (Bar) College"]) == [["Foo (Bar) College", "Foo College", "Foo (Bar)"]]
-    assert apply(spark, X.is_non_english, ["ж" * 100, "ж" * 99, "a" * 600 + "ж"]) == [True, False, False]
+    assert apply(spark, X.is_non_english, ["ж" * 100, "ж" * 99, "a" * 600 + "ж"]) == [True, False, True]
     assert apply(spark, X.drop_boilerplate, ["Home\nab\nReal  text\there\n|\nFacebook page\n\n\nlast line"]) == ["Real  text here\nlast line"]
 
 
@@ -105,3 +105,41 @@ def test_generic_title(spark, kind):
     title = apply(spark, lambda c: seo.generic_title(kind, c, "B"), ["N"])[0]
     assert "N" in title and title.endswith("| B")
     assert apply(spark, lambda c: seo.needs_title(kind, c, F.lit("N"), "B"), [title, " ", None, "own"]) == [True, True, True, False]
+
+
+def test_three_digits_follow_the_binary_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from campusloom.operators.quality import three_digits
+
+    values = [0.95 * 0.55 + 0.56 * 0.45, 0.0625, 0.1875, 0.0, 0.98, 1.0]
+    values += [round(s * 0.01, 2) * 0.45 + round(m * 0.01, 2) * 0.55 for s in range(0, 82, 3) for m in range(0, 100)]
+    values += [(2 * k + 1) / 2000 for k in range(990)]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(three_digits(F.col("v"))).collect()]
+    assert got == [float(Decimal(v).quantize(Decimal("0.001"), ROUND_HALF_UP)) for v in values]
+    assert got[0] == 0.774
+
+
+def test_boilerplate_lines_after_tabs(spark):
+    from campusloom.functions.text import drop_boilerplate
+
+    text = "\tMenu\nReal content of the page\n\t\tHome\n" + "long line " * 3000
+    out = spark.createDataFrame([(text,)], "t string").select(drop_boilerplate(F.col("t"))).first()[0]
+    assert out.startswith("Real content") and "Home" not in out and len(out) > 25_000
+
+
+def test_shared_folder_or_error():
+    import pytest
+
+    from campusloom.session import checkpoint_folder
+
+    class Context:
+        master = "spark://far:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_folder(Session())
