@@ -35,10 +35,12 @@ _ROWS = 500
 #: The rules' patterns, by kind; none matches over a line end.
 PATTERNS = (
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     re.compile(r"[0-9]([\x20-]?[0-9])+"),
     re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 )
+#: Where an e-mail can start unless right behind another; a run that fails from here fails from all its characters.
+_FRESH_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])" + PATTERNS[0].pattern)
 _NEEDS = ("@", ".", "", "+")
 _SIGN = re.compile(r"[0-9@]")
 _DIGITS = re.compile(r"[0-9]")
@@ -67,6 +69,17 @@ def valid(kind: int, text: str, rule: bool = True) -> bool:
     return 10 <= len(digits) <= 15
 
 
+def _matches(kind: int, line: str) -> Iterator[re.Match[str]]:
+    """Leftmost matches in time linear in the line, also where a run of one kind of character is very long."""
+    if kind:
+        yield from PATTERNS[kind].finditer(line)
+        return
+    at = 0
+    while found := PATTERNS[0].match(line, at) or _FRESH_EMAIL.search(line, at):
+        yield found
+        at = found.end()
+
+
 def rule_spans(text: str) -> list[Span]:
     """Spans of the fixed rules by start, then kind; only lines with a digit or an @ sign are searched."""
     out: list[Span] = []
@@ -75,9 +88,9 @@ def rule_spans(text: str) -> list[Span]:
         return out
     for line in text.split("\n"):
         if _SIGN.search(line):
-            for kind, pattern in enumerate(PATTERNS):
-                if _NEEDS[kind] in line:
-                    out += [(start + m.start(), kind, start + m.end()) for m in pattern.finditer(line) if valid(kind, m[0])]
+            for kind, need in enumerate(_NEEDS):
+                if need in line:
+                    out += [(start + m.start(), kind, start + m.end()) for m in _matches(kind, line) if valid(kind, m[0])]
         start += len(line) + 1
     return sorted(out)
 

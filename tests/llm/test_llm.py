@@ -436,6 +436,22 @@ def test_rules_equal_patterns_on_whole_text(docs):
         assert pii.rule_spans(text) == sorted(want)
 
 
+PLAIN = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def test_rules_equal_plain_patterns_on_random_strings():
+    rng = np.random.default_rng(3)
+    for _ in range(20_000):
+        text = "".join(rng.choice(list("ab@@..19_-+( \n%"), rng.integers(0, 40)))
+        want = [(m.start(), k, m.end()) for k, p in enumerate(PLAIN) for m in re.finditer(p, text) if pii.valid(k, m[0])]
+        assert pii.rule_spans(text) == sorted(want)
+
+
+def test_rules_take_linear_time_on_long_runs():
+    text = "a" * 300_000 + " @ " + "1" * 300_000 + " . x@y.de_z@w.de"
+    assert pii.rule_spans(text) == [(len(text) - 13, 0, len(text) - 7), (len(text) - 7, 0, len(text))]
+
+
 def test_spans_run_through_windows():
     tags = np.zeros((3, pii.WINDOW), np.int64)
     spans = [(20, 2, 90), (90, 2, 100)]
