@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # --- fixed values: name aliases -------------------------------------------
@@ -152,4 +153,5 @@ RANKING_ALIASES = {
 
 def alias_table(spark: SparkSession) -> DataFrame:
     """The curated aliases as (db_name, target)."""
-    return spark.createDataFrame(list(RANKING_ALIASES.items()), "db_name string, target string")
+    # Arrow data becomes a relation of known size, so that a join with it needs no shuffle.
+    return spark.createDataFrame(pa.table({"db_name": list(RANKING_ALIASES), "target": list(RANKING_ALIASES.values())}))

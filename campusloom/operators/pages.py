@@ -111,22 +111,78 @@ def html_lang(html: Column) -> Column:
     return F.nullif(F.regexp_extract(html, r'(?is)<html\b[^>]*?\blang\s*=\s*["\']?([A-Za-z\-]+)', 1), F.lit(""))
 
 
-_HREF = r'(?is)<a\b[^>]*?\bhref\s*=\s*["\']([^"\']*)["\']'
+# Values in either quotes or none; comments, scripts and styles hold no anchors.
+_HREF = r"""(?is)<a(?=[\s/])[^>]*?[\s"'/]href\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)"""
+_UNREAD = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
-def links(pages: DataFrame, keys: list[str], base: str = "url", html: str = "html") -> DataFrame:
-    """(keys, base, pos, href, url): every anchor with its absolute url."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(_HREF), F.lit(1))
-    found = pages.select(*keys, F.col(base), F.posexplode(hrefs).alias("pos", "href"))
+def _decoded(value: Column) -> Column:
+    """An attribute's value without quotes and with its entities decoded."""
+    out = F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
+    for entity, char in rules.ENTITIES.items():
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return out
+
+
+def _links(found: DataFrame, base: str) -> DataFrame:
     # Two steps, so that the full url is computed once per anchor.
     full = found.withColumn("__full", absolute(F.col("href"), F.col(base)))
     return full.withColumn("link", bound(F.col("__full"), normal_url)).drop("__full")
 
 
+def links(pages: DataFrame, keys: list[str], base: str = "url", html: str = "html") -> DataFrame:
+    """(keys, base, pos, href, url): every anchor with its absolute url."""
+    hrefs = F.regexp_extract_all(F.regexp_replace(html, _UNREAD, ""), F.lit(_HREF), F.lit(1))
+    found = pages.select(*keys, F.col(base), F.posexplode(hrefs).alias("pos", "href"))
+    return _links(found.withColumn("href", _decoded(F.col("href"))), base)
+
+
+class _NavReader(HTMLParser):
+    """Collects the hrefs of anchors inside navigation elements."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.stack: list[tuple[str, bool]] = []  # tag, is navigation
+        self.inside = 0
+        self.hrefs: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        named = dict(reversed(attrs))  # the first of repeated attributes counts
+        if tag == "a" and self.inside and "href" in named:
+            self.hrefs.append(named["href"] or "")
+        if tag not in _VOID:
+            nav = tag == "nav" or not rules.NAV_CLASSES.isdisjoint((named.get("class") or "").split())
+            self.stack.append((tag, nav))
+            self.inside += nav
+
+    def handle_endtag(self, tag):
+        if all(t != tag for t, _ in self.stack):
+            return
+        while self.stack:
+            t, nav = self.stack.pop()
+            self.inside -= nav
+            if t == tag:
+                return
+
+
+def nav_hrefs(html: str | None) -> list[str]:
+    r = _NavReader()
+    r.feed(html or "")
+    r.close()
+    return r.hrefs
+
+
 def nav_links(pages: DataFrame, keys: list[str], base: str = "url", html: str = "html") -> DataFrame:
-    """Anchors inside navigation elements."""
-    blocks = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<nav\b.*?</nav\s*>"), F.lit(0))
-    return links(pages.withColumn(html, F.array_join(blocks, "")), keys, base, html)
+    """Anchors inside navigation elements; these nest, so a parser reads them, in Arrow batches."""
+    keep = pages.select(*keys, base, html)
+    schema = T.StructType([*keep.drop(html).schema.fields, T.StructField("__hrefs", T.ArrayType(T.StringType()))])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.drop(columns=[html]).assign(__hrefs=pdf[html].map(nav_hrefs))
+
+    read_pages = keep.mapInPandas(read, schema)
+    return _links(read_pages.select(*keys, F.col(base), F.posexplode("__hrefs").alias("pos", "href")), base)
 
 
 def images(pages: DataFrame, keys: list[str], base: str = "url", html: str = "html") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from campusloom import rules
@@ -351,11 +352,10 @@ def merge_content(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -
 def country_rules(spark: SparkSession) -> DataFrame:
     """Fees, intakes and similar institutions by country (about 50 rows)."""
     names = sorted({*rules.TUITION_BY_COUNTRY, *rules.INTAKES_BY_COUNTRY, *rules.SIMILAR_BY_COUNTRY})
-    rows = [
-        (n, rules.TUITION_BY_COUNTRY.get(n), rules.INTAKES_BY_COUNTRY.get(n), rules.SIMILAR_BY_COUNTRY.get(n))
-        for n in names
-    ]
-    return spark.createDataFrame(rows, "country string, tuition string, intakes array<string>, similar array<string>")
+    by_column = (rules.TUITION_BY_COUNTRY, rules.INTAKES_BY_COUNTRY, rules.SIMILAR_BY_COUNTRY)
+    columns = dict(zip(("country", "tuition", "intakes", "similar"), (names, *([d.get(n) for n in names] for d in by_column))))
+    # Arrow data becomes a relation of known size, so that a join with it needs no shuffle.
+    return spark.createDataFrame(pa.table(columns))
 
 
 def _list(items: list[str]) -> Column:
@@ -390,7 +390,7 @@ def fill_gaps(df: DataFrame, by_country: DataFrame, country: str = "country_name
     )
     j = df.join(side, F.col(country) == F.col("__c"), "left")
     kind = institution_type(F.col(name), technical_university=not live)
-    fee, students = F.trim(F.coalesce("tuition_fee", F.lit(""))), F.trim(F.coalesce("total_students", F.lit("")))
+    fee, students = (F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "") for c in ("tuition_fee", "total_students"))
     english = F.coalesce(F.col(country).isin(rules.ENGLISH_COUNTRIES), F.lit(False))
     padded = pad_programs(F.col("programs"), typical_programs(kind), skip_known=not live)
     missing = {

@@ -198,6 +198,14 @@ NOISE_CLASSES = [
     "elementor-location-footer", "crisp-client",
 ]
 NOISE_IDS = ["intercom-container", "crisp-chatbox", "sidebar"]
+NAV_CLASSES = {"menu", "navigation"}
+
+# --- fixed values: entities in attribute values, the ampersand last --------
+
+ENTITIES = {
+    "&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">",
+    "&#x2F;": "/", "&#47;": "/", "&#38;": "&", "&#x26;": "&", "&amp;": "&",
+}
 
 # --- fixed values: search-result titles -----------------------------------
 

@@ -6,9 +6,10 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import Window as W, functions as F
 
+from campusloom import rules
 from campusloom.aliases import alias_table
 from campusloom.functions import basics as B
-from campusloom.operators import carry, graph, joins, matching as M, predicates as P, quality as Q, ranking, records as R, reports as A
+from campusloom.operators import carry, graph, joins, matching as M, pages as H, predicates as P, quality as Q, ranking, records as R, reports as A
 from campusloom.plans import backfill, enrich
 from campusloom.sources import readers, tables as S
 
@@ -280,3 +281,36 @@ def test_sitemap_index(spark, tmp_path):
 def test_bound_reads_value_once(spark):
     df = spark.range(3).select(B.bound(F.col("id") + 1, lambda x: x * x).alias("v"))
     assert [r.v for r in df.collect()] == [1, 4, 9]
+
+
+def test_links_of_every_spelling(spark):
+    html = """<!-- <a href="/c">c</a> --><script>var t='<a href="/s">'</script><style>a:after{content:'<a href=/t>'}</style>
+<A class=x HREF=/fees>f</A><a title="t" href='/p?a=1&amp;b=2'>p</a><a data-href="/no" href="/yes">y</a><a href="">e</a><abbr href="/n">n</abbr>"""
+    rows = H.links(spark.createDataFrame([(1, "https://x.org/", html), (2, "https://x.org/", None)], "id int, url string, html string"), ["id"]).orderBy("pos").collect()
+    assert [r.href for r in rows] == ["/fees", "/p?a=1&b=2", "/yes", ""]
+    assert rows[1].link == "https://x.org/p?a=1&b=2"
+
+
+def test_navigation_links_nest(spark):
+    html = """<a href="/out">o</a><div class="top menu"><div><a href=/a>a</a></div><a href="/b&amp;c">b</a></div><a class="menu" href="/self">s</a>
+<ul class="navigation"><li><a href="/d">d</a><li><a name="x">no</a></ul><div class="menubar"><a href="/e">e</a></div><nav><br><a href="/f">f</a></nav><!-- <nav><a href="/g"></a></nav> -->"""
+    assert H.nav_hrefs(html) == ["/a", "/b&c", "/d", "/f"] and H.nav_hrefs(None) == []
+    rows = H.nav_links(spark.createDataFrame([(1, "https://x.org/", html), (2, "https://x.org/", None)], "id int, url string, html string"), ["id"]).orderBy("pos").collect()
+    assert [r.link for r in rows] == ["https://x.org/a", "https://x.org/b&c", "https://x.org/d", "https://x.org/f"]
+
+
+@pytest.mark.parametrize("selector", ["class", "id"])
+def test_every_noise_selector_is_dropped(selector):
+    exact = rules.NOISE_CLASSES if selector == "class" else rules.NOISE_IDS
+    parts = rules.NOISE_CLASS_PARTS if selector == "class" else rules.NOISE_ID_PARTS
+    for name in [*exact, *(f"a-{p}-b" for p in parts)]:
+        assert H.page_text(f'<body><div {selector}="{name}">noise</div>text</body>') == "text"
+    for tag in rules.NOISE_TAGS:
+        assert "noise" not in H.page_text(f"<body><{tag}>noise</{tag}>text</body>") or tag == "embed"
+
+
+def test_country_rules_join_without_shuffle(spark, capsys):
+    df = spark.range(10).select(F.lit("Fine Academy").alias("name"), F.col("id").cast("string").alias("country_name"))
+    df.join(R.country_rules(spark), F.col("country_name") == F.col("country"), "left").explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
