@@ -57,12 +57,13 @@ def incomplete_course() -> Column:
     return any_of([is_blank(F.col(c)) for c in COURSE_TEXTS] + [is_empty_list(F.col(c)) for c in COURSE_LISTS])
 
 
-def has_demand(links: Column, minimum: int = 3) -> Column:
-    return list_size(links) >= minimum
+def has_demand(n_links: Column, minimum: int = 3) -> Column:
+    """Whether a course has enough linked records; takes their number, so no list has to be gathered."""
+    return n_links >= minimum
 
 
-def worth_enriching_course(links: Column, minimum: int = 3) -> Column:
-    return has_demand(links, minimum) & incomplete_course()
+def worth_enriching_course(n_links: Column, minimum: int = 3) -> Column:
+    return has_demand(n_links, minimum) & incomplete_course()
 
 
 def scope(

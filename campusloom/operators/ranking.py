@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from campusloom import rules
@@ -218,38 +220,78 @@ def _free_suffix(rows: DataFrame, taken: DataFrame, block: int) -> DataFrame:
     return both.filter("kind = 1").select("id", "__ord", "base", (F.col("at") + F.col("skipped")).alias("suffix"))
 
 
+_CHILD = r"^(.+)-([1-9][0-9]{0,17})$"
+
+
+def _parent(slug: str) -> Column:
+    return F.regexp_extract(slug, _CHILD, 1).alias("base")
+
+
+def _number(slug: str) -> Column:
+    return F.regexp_extract(slug, _CHILD, 2).cast("long").alias("suffix")
+
+
+def _claims(rows: DataFrame) -> DataFrame:
+    """(base, suffix, child, before): new bases that are numbered slugs of another new base.
+
+    ``before`` counts the records of ``base`` that arrive before the first one of ``child``.
+    """
+    firsts = rows.filter("arrival_no = 1").filter(F.col("base").rlike(_CHILD))
+    children = firsts.select(_parent("base"), _number("base"), F.col("base").alias("child"), "__ord", "id", "__b")
+    # Most bases are nobody's parent: only those with children are compared by arrival.
+    met = durable(children.join(rows.select("base").distinct(), "base", "left_semi"))
+    arrivals = rows.join(met.select("base").distinct(), "base", "left_semi").select("base", "__ord", "id", "__b")
+    both = met.unionByName(arrivals, allowMissingColumns=True)
+    counted = running(both, ["base"], ["__ord", "id"], F.col("__b"), sums={"before": F.col("child").isNull().cast("long")})
+    return counted.filter(F.col("child").isNotNull()).select("base", "suffix", "child", "before")
+
+
+def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds ``won``, whether a blocked suffix or a child keeps its number, to rows sorted by base and suffix.
+
+    The record that would take suffix s is the (s - blocked suffixes below s)-th of its base
+    (from 0); a child that arrives before that record wins, one that arrives later loses.
+    """
+    base, blocked = None, 0
+    for rows in batches:
+        won = []
+        for b, s, before in zip(rows["base"], rows["suffix"], rows["before"], strict=True):
+            if b != base:
+                base, blocked = b, 0
+            won.append(bool(before < 0 or s - blocked >= before))
+            blocked += won[-1]
+        yield rows[["base", "suffix", "child"]].assign(won=won)
+
+
 def assign_slugs(new: DataFrame, existing: DataFrame, key: str, name: str, order: str, bucket: Column, block: int = 100_000) -> DataFrame:
     """Unique slug per new record in arrival order: base, base-1, base-2, ...
 
     Existing slugs are skipped.  When the numbered slug of one base is the base
-    of another new record, the earlier arrival keeps it: each pass blocks, per
-    family of bases, the loser that arrives first, until no two records share
-    a slug.  Each pass is written; a second one is only needed after a clash.
+    of another new record, the earlier arrival keeps it.  All such clashes at
+    one depth of numbering (x, x-1, x-1-1) are settled in one pass over the
+    clashing bases, so the passes depend on that depth alone.
     """
     named = new.select(
         F.col(key).alias("id"), F.col(order).alias("__ord"), slugify(F.col(name)).alias("base"), bucket.alias("__b")
     )
-    rows = durable(arrival_number(named, ["base"], ["__ord", "id"], F.col("__b")).drop("__b"))
-    bases = rows.select("base").distinct()
-
-    def as_suffix(df: DataFrame, slug: str) -> DataFrame:
-        """Suffix numbers a slug blocks: 0 of itself and n of its parent base."""
-        own = df.select(F.col(slug).alias("base"), F.lit(0).cast("long").alias("suffix"))
-        numbered = df.filter(F.col(slug).rlike(r"^.+-[1-9][0-9]{0,17}$")).select(
-            F.regexp_extract(slug, r"^(.+)-[0-9]+$", 1).alias("base"),
-            F.regexp_extract(slug, r"-([0-9]+)$", 1).cast("long").alias("suffix"),
-        )
-        return own.unionByName(numbered)
-
-    blocked = as_suffix(existing.select("slug").distinct(), "slug").join(bases, "base", "left_semi").distinct()
+    rows = durable(arrival_number(named, ["base"], ["__ord", "id"], F.col("__b")))
+    known = existing.select("slug").filter(F.col("slug").isNotNull()).distinct()
+    # A slug blocks suffix 0 of itself and its number of the base before it.
+    taken = known.select(F.col("slug").alias("base"), F.lit(0).cast("long").alias("suffix")).unionByName(
+        known.filter(F.col("slug").rlike(_CHILD)).select(_parent("slug"), _number("slug"))
+    )
+    blocked = durable(taken.join(rows.select("base").distinct(), "base", "left_semi"))
+    chain = F.regexp_extract("base", r"((?:-[1-9][0-9]{0,17})*)$", 1)
+    claims = durable(_claims(rows).withColumn("depth", F.length(chain) - F.length(F.replace(chain, F.lit("-")))))
+    for (depth,) in claims.select("depth").distinct().orderBy("depth").collect():  # as many as a slug has numbers
+        here = claims.filter(F.col("depth") == depth)
+        fixed = blocked.join(here.select("base").distinct(), "base", "left_semi").withColumns({"before": F.lit(-1).cast("long"), "child": F.lit(None).cast("string")})
+        open_ = here.drop("depth").join(blocked, ["base", "suffix"], "left_anti")
+        ordered = open_.unionByName(fixed).repartition("base").sortWithinPartitions("base", "suffix")
+        settled = durable(ordered.mapInPandas(_settle, "base string, suffix long, child string, won boolean"))
+        fresh = settled.filter(F.col("child").isNotNull())
+        winners = fresh.filter("won").select("base", "suffix")
+        losers = fresh.filter("NOT won").select(F.col("child").alias("base"), F.lit(0).cast("long").alias("suffix"))
+        blocked = durable(blocked.unionByName(winners).unionByName(losers).distinct())
     slug = F.when(F.col("suffix") == 0, F.col("base")).otherwise(F.concat_ws("-", F.col("base"), F.col("suffix").cast("string")))
-    while True:
-        out = durable(_free_suffix(rows, blocked, block).withColumn("slug", slug))
-        shared = out.groupBy("slug").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("slug")
-        rivals = out.join(shared, "slug")
-        losers = rivals.withColumn("rn", F.row_number().over(W.partitionBy("slug").orderBy("__ord", "id"))).filter("rn > 1")
-        family = F.regexp_replace("base", r"(?:-[0-9]+)+$", "")
-        first = best_per_key(losers.withColumn("family", family), ["family"], ["__ord", "id"]).select("base", "suffix")
-        if first.isEmpty():
-            return out.select(F.col("id").alias(key), "slug")
-        blocked = durable(blocked.unionByName(first).distinct())
+    return _free_suffix(rows.drop("__b"), blocked, block).select(F.col("id").alias(key), slug.alias("slug"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from campusloom.functions.hashing import extraction_key
 from campusloom.functions.urls import classify
+from campusloom.operators.carry import arrival_number
 from campusloom.operators.joins import flag_ever
 from campusloom.session import durable
 
@@ -135,6 +136,19 @@ def batch_end(df: DataFrame, key: str, last: int | None, size: int) -> int | Non
     return rest.orderBy(key).limit(size).agg(F.max(key)).first()[0]
 
 
+def batch_ends(df: DataFrame, key: str, last: int | None, size: int) -> list[int]:
+    """Largest keys of all batches after ``last``, from one scan of the key column.
+
+    Keys are sorted by range and numbered within their ranges, so no task holds them
+    all; the driver gets one number per batch.
+    """
+    rest = df.select(F.col(key).alias("k")).filter(F.col(key).isNotNull() if last is None else F.col(key) > last)
+    ranged = durable(rest.repartitionByRange("k").withColumn("part", F.spark_partition_id()))
+    numbered = arrival_number(ranged, [], ["k"], F.col("part"), "n")
+    ends = numbered.groupBy(F.ceil(F.col("n") / size).alias("batch")).agg(F.max("k").alias("k"))
+    return [r.k for r in ends.select("k").distinct().orderBy("k").collect()]
+
+
 def key_range(df: DataFrame, key: str, last: int | None, end: int) -> DataFrame:
     out = df.filter(F.col(key) <= end)
     return out if last is None else out.filter(F.col(key) > last)
@@ -175,10 +189,9 @@ def run_batches(df: DataFrame, key: str, path: str, run_key: str, work: Callable
             row = [tuple(state.get(c.split()[0]) for c in PROGRESS_SCHEMA.split(", "))]
             spark.createDataFrame(row, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(path)
 
-    while max_batches is None or done < max_batches:
-        end = batch_end(df, key, state["last_id"], size)
-        if end is None:
-            store("completed")
+    for end in batch_ends(df, key, state["last_id"], size):
+        if done == max_batches:
+            store("paused")
             return state
         counted = work(key_range(df, key, state["last_id"], end), state["batch_no"])
         for n in names:
@@ -186,5 +199,5 @@ def run_batches(df: DataFrame, key: str, path: str, run_key: str, work: Callable
         state["last_id"], state["batch_no"] = end, state["batch_no"] + 1
         done += 1
         store("running")
-    store("paused")
+    store("completed")
     return state

@@ -164,26 +164,30 @@ def crawl_health_stream(log: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 # --- breaker per key ------------------------------------------------------
 
-def breaker(calls: DataFrame, bucket: Column | None = None) -> DataFrame:
+def breaker(calls: DataFrame, bucket: Column | None = None, idle: int | None = None) -> DataFrame:
     """State of the breaker after every call: failures, open_until, limited_until
     (microseconds, 0 when never) and whether the key is available right then.
 
     Needs key, ts, event_id, result (ok / failed / limited) and retry_after_ms.
+    With ``idle`` (microseconds) a silence of that long makes a key start afresh;
+    waits that reach beyond it end with it.
     """
     b = F.date_trunc("day", F.col("ts")) if bucket is None else bucket
     us, order = epoch_micros(F.col("ts")), ["ts", "event_id"]
     ok, limited = F.col("result") == "ok", F.col("result") == "limited"
-    c = counts_since_reset(calls.withColumn("__us", us), ["key"], order, b, F.col("__us"), {"failures": ~ok}, ok)
+    c = counts_since_reset(calls.withColumn("__us", us), ["key"], order, b, F.col("__us"), {"failures": ~ok}, ok, idle, "__silent")
     hint = F.coalesce(F.col("retry_after_ms"), F.lit(0)) * 1000
     wait = F.when(hint > 0, hint).otherwise(F.least(F.lit(BACKOFF_STEP) * F.col("failures"), F.lit(BACKOFF_MAX)))
     opened = (F.col("result") == "failed") & (F.col("failures") >= LIMIT)
     at = F.struct(F.col("__us").alias("us"), F.col("event_id").alias("id"))
+    until = lambda end: F.struct(F.col("__us").alias("us"), F.col("event_id").alias("id"), end.alias("until"))
     r = running(
         c, ["key"], order, b,
         maxes={
             "__open": F.when(opened, at),
-            "__ok": F.when(ok, at),
-            "__lim": F.when(limited, F.struct(F.col("__us").alias("us"), F.col("event_id").alias("id"), (F.col("__us") + wait).alias("until"))),
+            # A failure after a silence is the first one again, so it never opens the breaker.
+            "__ok": F.when(ok | F.col("__silent"), at),
+            "__lim": F.when(limited, until(F.col("__us") + wait)).when(F.col("__silent"), until(F.lit(0).cast("long"))),
         },
     )
     is_open = F.col("__open").isNotNull() & (F.col("__ok").isNull() | (F.col("__open") > F.col("__ok")))
@@ -191,16 +195,25 @@ def breaker(calls: DataFrame, bucket: Column | None = None) -> DataFrame:
         r.withColumn("open_until", F.when(is_open, F.col("__open.us") + COOLDOWN).otherwise(F.lit(0)))
         .withColumn("limited_until", F.coalesce("__lim.until", F.lit(0)))
         .withColumn("available", (F.col("open_until") <= F.col("__us")) & (F.col("limited_until") <= F.col("__us")))
-        .drop("__open", "__ok", "__lim", "__us")
+        .drop("__open", "__ok", "__lim", "__us", "__silent")
     )
 
 
+#: A key without a call for 30 days is forgotten by the stream.
+BREAKER_IDLE = 30 * 24 * HOUR
+
+
 class _Breaker(_Ordered):
-    state_schema = "failures bigint, open_until bigint, limited_until bigint"
+    def __init__(self, idle: int) -> None:
+        self.ttl = idle
+
+    state_schema = "failures bigint, open_until bigint, limited_until bigint, us bigint"
     columns = ["key", "event_id", "us", "failures", "open_until", "limited_until"]
 
     def one(self, state, row):
-        n, opened, limited = state or (0, 0, 0)
+        n, opened, limited, at = state or (0, 0, 0, None)
+        if at is not None and row.us - at >= self.ttl:
+            n, opened, limited = 0, 0, 0
         if row.result == "ok":
             n, opened = 0, 0
         elif row.result == "limited":
@@ -209,17 +222,17 @@ class _Breaker(_Ordered):
         else:
             n += 1
             opened = row.us + COOLDOWN if n >= LIMIT else opened
-        return (n, opened, limited), (n, opened, limited)
+        return (n, opened, limited, row.us), (n, opened, limited)
 
 
-def breaker_stream(calls: DataFrame) -> DataFrame:
-    """Same state as :func:`breaker` over a stream in time order."""
+def breaker_stream(calls: DataFrame, idle: int = BREAKER_IDLE, lateness: str = "1 hour") -> DataFrame:
+    """Same state as :func:`breaker` with the same ``idle`` over a stream in time order."""
     rows = calls.select(
         "key", "event_id", epoch_micros(F.col("ts")).alias("us"), "result",
         (F.coalesce("retry_after_ms", F.lit(0)) * 1000).cast("long").alias("retry_us"),
     )
     output = "key string, event_id bigint, us bigint, failures bigint, open_until bigint, limited_until bigint"
-    return _by_key(rows, "key", _Breaker(), output, "0 seconds")
+    return _by_key(rows, "key", _Breaker(idle), output, lateness)
 
 
 # --- content memory -------------------------------------------------------

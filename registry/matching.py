@@ -169,7 +169,7 @@ FROM fx_program p JOIN fx_course c ON c.title = p.category JOIN fx_entity e ON e
 )
 def combo_slugs(t):
     pairs = (
-        t.fx_program.join(t.fx_course, F.col("category") == F.col("title"))
+        t.fx_program.join(t.fx_course.select("title").distinct(), F.col("category") == F.col("title"))
         .join(t.fx_entity.select("entity_id", "country_id"), "entity_id")
         .join(t.fx_country.select("country_id", F.col("slug").alias("country_slug")), "country_id")
         .select(F.replace("title", F.lit(" "), F.lit("-")).alias("course_slug"), "country_slug")

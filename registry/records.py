@@ -81,15 +81,16 @@ def incomplete_countries(t):
 WHERE n >= 3 AND (course_id % 2 = 0 OR course_id % 3 = 0)""",
 )
 def courses_in_demand(t):
-    links = t.fx_program.join(t.fx_course, F.col("category") == F.col("title")).groupBy("course_id").agg(F.collect_set("entity_id").alias("top_universities"))
+    demand = t.fx_program.groupBy("category").agg(F.count_distinct("entity_id").alias("n_universities"))
+    links = t.fx_course.join(demand, F.col("category") == F.col("title"))
     text, items = F.lit("x"), F.array(F.lit("x"))
     c = links.select(
-        "course_id", "top_universities", F.when(F.col("course_id") % 2 == 0, "").otherwise("s").alias("subtitle"),
+        "course_id", "n_universities", F.when(F.col("course_id") % 2 == 0, "").otherwise("s").alias("subtitle"),
         *[text.alias(n) for n in P.COURSE_TEXTS if n != "subtitle"],
         F.when(F.col("course_id") % 3 == 0, F.array().cast("array<string>")).otherwise(items).alias("faqs"),
         *[items.alias(n) for n in P.COURSE_LISTS if n != "faqs"],
     )
-    return c.filter(P.worth_enriching_course(F.col("top_universities"))).select("course_id")
+    return c.filter(P.worth_enriching_course(F.col("n_universities"))).select("course_id")
 
 
 @query("P5", "SELECT entity_id FROM fx_entity WHERE (status = 'completed' OR is_enriched OR length(coalesce(description, '')) >= 300) AND country_id = 7")

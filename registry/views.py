@@ -38,10 +38,12 @@ SELECT DISTINCT o.o_custkey AS entity_id, p.p_name AS category,
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
 """
 
+# Every part is a course; those outside twelve names carry a title of their own, so that some programs find none.
 VIEWS["fx_course"] = """
-SELECT p_partkey AS course_id, p_name AS title, p_type AS field,
+SELECT p_partkey AS course_id, p_type AS field,
+       CASE WHEN split_part(p_name, ' ', 1) IN ('small', 'hot', 'old') AND split_part(p_name, ' ', 2) IN ('widget', 'gear', 'anvil', 'ring') THEN p_name ELSE concat('Studies ', replace(p_brand, '#', ' ')) END AS title,
        CASE p_type WHEN 'ECONOMY' THEN 'Bachelor' WHEN 'PROMO' THEN 'Master' WHEN 'STANDARD' THEN 'PhD' ELSE 'Diploma' END AS level
-FROM part WHERE p_partkey % 5 = 0 AND split_part(p_name, ' ', 1) IN ('small', 'hot', 'old') AND split_part(p_name, ' ', 2) IN ('widget', 'gear', 'anvil', 'ring')
+FROM part
 """
 
 VIEWS["fx_perf_raw"] = """
@@ -159,13 +161,13 @@ SELECT c_custkey AS id,
 FROM customer
 """
 
-# Proposed titles of many lengths and endings.
+# Proposed titles of many lengths and endings; the whole text as description.
 VIEWS["fx_title"] = """
 SELECT doc_id, concat('Doc ', CAST(doc_id AS STRING)) AS name,
-       concat(CASE WHEN doc_id % 3 = 0 THEN 'About Doc ' ELSE 'doc ' END, CAST(doc_id AS STRING), ' ', substr(text, 1, 20),
+       concat(CASE WHEN doc_id % 3 = 0 THEN 'About Doc ' ELSE 'doc ' END, CAST(doc_id AS STRING), ' ', source, ' in ', lang,
               CASE doc_id % 9 WHEN 0 THEN ' | Good Brand' WHEN 1 THEN ' | Good' WHEN 2 THEN ' |' WHEN 3 THEN ' -' WHEN 4 THEN ' | Other' WHEN 5 THEN ' with a rather long tail of words that runs on' WHEN 6 THEN ' and a somewhat longer title | Good Brand' WHEN 7 THEN ' with far too many words to be cut in any sensible way by anyone who cares at all' ELSE '' END) AS title,
-       concat('All on Doc ', CAST(doc_id % 50 AS STRING), ': ', substr(text, 1, CAST(doc_id % 190 AS INT))) AS description
-FROM (SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents) d
+       concat('All on Doc ', CAST(doc_id % 50 AS STRING), ': ', replace(text, chr(10), ' ')) AS description
+FROM documents
 """
 
 

@@ -112,6 +112,35 @@ def test_slugs_equal_arrival_order(spark, seed):
     assert [r.slug for r in got.orderBy("id").collect()] == brute_slugs(names, taken)
 
 
+@pytest.mark.parametrize("clashes", [2, 50])
+def test_slug_passes_do_not_grow_with_clashes(spark, monkeypatch, clashes):
+    writes = []
+    monkeypatch.setattr(ranking, "durable", lambda df, cut=ranking.durable: writes.append(1) or cut(df))
+    names = [x for i in range(clashes) for x in ("campus", f"campus-{i + 1}", "campus")]
+    new = spark.createDataFrame(list(enumerate(names)), "id long, name string")
+    got = ranking.assign_slugs(new.withColumn("at", F.col("id")), new.limit(0).select(F.col("name").alias("slug")), "id", "name", "at", F.floor(F.col("id") / 9), block=7)
+    assert [r.slug for r in got.orderBy("id").collect()] == brute_slugs(names, [])
+    assert len(writes) == 6
+
+
+def test_batches_cover_all_keys(spark):
+    from campusloom.sources.tables import batch_ends
+
+    df = spark.createDataFrame([(k * k,) for k in range(1000)], "k long").repartition(5)
+    assert batch_ends(df, "k", None, 300) == [299**2, 599**2, 899**2, 999**2]
+    assert batch_ends(df, "k", 899**2, 300) == [999**2] and batch_ends(df, "k", 999**2, 300) == []
+
+
+def test_backfill_of_one_course(spark):
+    from campusloom.plans.backfill import link_scope
+
+    scope = spark.createDataFrame([(1,), (2,)], "entity_id long")
+    programs = spark.createDataFrame([(1, "Hot widget", "PhD"), (1, "cold gear", "PhD"), (2, None, "PhD"), (3, "widget", "PhD")], "entity_id long, category string, level string")
+    courses = spark.createDataFrame([(7, "hot widget", "PhD")], "course_id long, title string, level string")
+    got = link_scope(scope, programs, courses, (7, "hot widget")).collect()
+    assert [(r.entity_id, r.category, r.course_id) for r in got] == [(1, "Hot widget", 7)]
+
+
 def test_sections_against_brute_force(spark):
     import re
 

@@ -47,6 +47,16 @@ def test_breaker(spark, log):
     assert rows(T.drain(T.breaker_stream(key(stream)), work_folder(spark)), *cols) == rows(T.breaker(key(batch)), *cols)
 
 
+def test_idle_breaker_starts_afresh(spark, log):
+    """With a short memory stream and batch agree too, and differ from those that never forget."""
+    batch, stream = log
+    key = lambda df: df.withColumnRenamed("domain", "key").filter("event_id % 3 != 0")
+    cols = ("event_id", "key", "failures", "open_until", "limited_until")
+    want = rows(T.breaker(key(batch), idle=6 * T.HOUR), *cols)
+    assert rows(T.drain(T.breaker_stream(key(stream), idle=6 * T.HOUR), work_folder(spark)), *cols) == want
+    assert want != rows(T.breaker(key(batch)), *cols)
+
+
 def test_new_content(spark, log):
     batch, stream = log
     last, want = {}, []
