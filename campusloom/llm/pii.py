@@ -62,8 +62,8 @@ def valid(kind: int, text: str, rule: bool = True) -> bool:
     if kind == 0:
         return rule or text.count("@") == 1 and "." in text.rpartition("@")[2] and not text.startswith("@")
     if kind == 1:
-        parts = re.findall(r"[0-9]+", text)
-        return len(parts) == 4 and all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in parts)
+        parts = [p.lstrip("0") for p in re.findall(r"[0-9]+", text)]
+        return len(parts) == 4 and all(len(p) < 4 and int(p or "0") <= 255 for p in parts)
     if kind == 2:
         return 14 <= len(digits) <= 19 and luhn(digits)
     return 10 <= len(digits) <= 15

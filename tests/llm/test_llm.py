@@ -447,6 +447,10 @@ def test_rules_equal_plain_patterns_on_random_strings():
         assert pii.rule_spans(text) == sorted(want)
 
 
+def test_ip_parts_of_thousands_of_zeros():
+    assert pii.rule_spans("x 1.2.3." + "0" * 6000 + " y 1.2.3.256") == [(2, 1, 6008)]
+
+
 def test_rules_take_linear_time_on_long_runs():
     text = "a" * 300_000 + " @ " + "1" * 300_000 + " . x@y.de_z@w.de"
     assert pii.rule_spans(text) == [(len(text) - 13, 0, len(text) - 7), (len(text) - 7, 0, len(text))]
