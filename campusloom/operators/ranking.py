@@ -93,8 +93,9 @@ def section_score(text: Column) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
-def _words(text: Column, n: int) -> Column:
-    return F.array_distinct(F.slice(F.split(F.lower(text), r"\s+"), 1, n))
+def _words(text: Column, n: int | None) -> Column:
+    split = F.split(F.lower(text), r"\s+")
+    return F.array_distinct(split if n is None else F.slice(split, 1, n))
 
 
 def word_overlap(a: Column, b: Column) -> Column:
@@ -116,8 +117,12 @@ def ranked_sections(text: Column, minimum: int = 40) -> Column:
     )
 
 
-def distinct_sections(sections: Column, words: int = 80, overlap: float = 0.65, keep: int = 8) -> Column:
-    """Greedy pass: drop a section too similar to one already kept."""
+def distinct_sections(sections: Column, words: int | None = None, overlap: float = 0.65, keep: int | None = None) -> Column:
+    """Greedy pass: drop a section too similar to one already kept.
+
+    All words of all sections count; ``words`` compares the first ones only and
+    ``keep`` stops at so many sections.
+    """
     start = F.array().cast("array<struct<text:string,words:array<string>>>")
     # The words of a section are taken once, not at every comparison.
     split = F.transform(
@@ -125,15 +130,21 @@ def distinct_sections(sections: Column, words: int = 80, overlap: float = 0.65,
     )
 
     def step(acc: Column, s: Column) -> Column:
-        similar = F.exists(acc, lambda k: word_overlap(k["words"], s["words"]) > overlap)
-        return F.when((F.size(acc) >= keep) | similar, acc).otherwise(F.concat(acc, F.array(s)))
+        def close(k: Column) -> Column:
+            # The smaller set bounds what is shared, so most pairs need no intersection.
+            a, b = F.size(k["words"]), F.size(s["words"])
+            return (F.least(a, b) / F.greatest(a, b, F.lit(1)) > overlap) & (word_overlap(k["words"], s["words"]) > overlap)
+
+        similar = F.exists(acc, close)
+        full = similar if keep is None else (F.size(acc) >= keep) | similar
+        return F.when(full, acc).otherwise(F.concat(acc, F.array(s)))
 
     return F.transform(F.aggregate(split, start, step), lambda s: s["text"])
 
 
-def preprocess_content(text: Column) -> Column:
-    """The best distinct sections of a text, relabelled and joined."""
-    best = distinct_sections(ranked_sections(text))
+def preprocess_content(text: Column, words: int | None = 80, keep: int | None = 8) -> Column:
+    """The distinct sections of a text, best first, relabelled and joined; None for all words and all sections."""
+    best = distinct_sections(ranked_sections(text), words=words, keep=keep)
     labelled = F.transform(best, lambda t, i: F.concat(F.format_string("[SECTION %d]\n", i + 1), t))
     return F.when(F.length(F.coalesce(text, F.lit(""))) < 50, F.coalesce(text, F.lit(""))).otherwise(
         F.array_join(labelled, "\n\n---\n\n")

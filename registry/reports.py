@@ -286,7 +286,7 @@ def ranked_sections(t):
     """Paragraphs of a text as sections; checked by brute force in the tests."""
     marked = F.regexp_replace("text", "\n", "[PAGE 1]")
     d = spread(t.documents.select("doc_id", "text"))
-    return d.select("doc_id", ranking.preprocess_content(marked).alias("content"))
+    return d.select("doc_id", ranking.preprocess_content(marked, words=None, keep=None).alias("content"))
 
 
 @query(

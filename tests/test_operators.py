@@ -343,3 +343,15 @@ def test_country_rules_join_without_shuffle(spark, capsys):
     df.join(R.country_rules(spark), F.col("country_name") == F.col("country"), "left").explain()
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_sections_are_all_kept_and_compared_whole(spark):
+    rnd = random.Random(5)
+    same = " ".join(f"w{i}" for i in range(80))
+    parts = [" ".join(f"s{k}x{rnd.randrange(10_000)}" for _ in range(20)) for k in range(12)]
+    parts += [same + " " + " ".join(f"{end}{i}" for i in range(80)) for end in "ab"] + [parts[3]]
+    df = spark.createDataFrame([("[PAGE 1]".join(parts),)], "t string")
+    got = df.select(ranking.preprocess_content(F.col("t"), None, None), ranking.preprocess_content(F.col("t"))).first()
+    # No keyword, so in text order; the last part repeats one.
+    assert got[0] == "\n\n---\n\n".join(f"[SECTION {i + 1}]\n{p}" for i, p in enumerate(parts[:-1]))
+    assert got[1] == "\n\n---\n\n".join(f"[SECTION {i + 1}]\n{p}" for i, p in enumerate(parts[:8]))
