@@ -33,16 +33,14 @@ def latest_run(perf: DataFrame, label: str, date: str) -> DataFrame:
     return perf.join(newest, F.col(label) == F.col("__l"), "left_semi")
 
 
-def ctr_priorities(perf: DataFrame, label: str, date: str, limit: int = 200, entity_type: str | None = None) -> DataFrame:
-    """Pages of the newest run with the lowest click rate, most shown first."""
+def ctr_priorities(perf: DataFrame, label: str, date: str, limit: int | None = 200, entity_type: str | None = None) -> DataFrame:
+    """Pages of the newest run with the lowest click rate, most shown first; all of them, in no order, for limit None."""
     rows = latest_run(perf, label, date).filter(F.col("slug").isNotNull())
     if entity_type:
         rows = rows.filter(F.col("entity_type") == entity_type)
-    return (
-        rows.orderBy(F.asc("ctr"), F.desc("impressions"), F.asc("url"))
-        .limit(limit)
-        .select("entity_type", "slug", "impressions", "ctr", "url")
-    )
+    if limit is not None:
+        rows = rows.orderBy(F.asc("ctr"), F.desc("impressions"), F.asc("url")).limit(limit)
+    return rows.select("entity_type", "slug", "impressions", "ctr", "url")
 
 
 def select_work(entities: DataFrame, now: Column, budget: int) -> DataFrame:

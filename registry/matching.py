@@ -136,11 +136,9 @@ _PRIO = f"(SELECT entity_type, slug, impressions, ctr, url, row_number() OVER (O
  JOIN (SELECT 'c' || CAST(entity_id AS VARCHAR) AS slug, name, CASE WHEN entity_id % 2 = 0 THEN '' ELSE name || ' own' END AS meta_title FROM fx_entity) e ON e.slug = p.slug WHERE p.entity_type = 'university' AND e.meta_title = '') x ORDER BY rank LIMIT 10""")
 def rewrite_candidates(t):
     perf = performance.with_page_class(t.fx_perf)
-    top = ranking.latest_run(perf, "run_no", "run_no").filter(F.col("slug").isNotNull()).orderBy("ctr", F.desc("impressions"), "url").limit(200)
-    from pyspark.sql import Window as W
-
-    # At most 200 rows: the list is short by definition.
-    prio = top.withColumn("rank", F.row_number().over(W.orderBy("ctr", F.desc("impressions"), "url")))
+    top = ranking.ctr_priorities(perf, "run_no", "run_no", limit=None, entity_type="university")
+    # The sort key itself is the position: numbering the whole list would take one task.
+    prio = top.withColumn("rank", F.struct("ctr", F.col("impressions").isNull(), -F.col("impressions"), "url"))
     rows = t.fx_entity.select(
         F.concat(F.lit("c"), F.col("entity_id").cast("string")).alias("slug"), "name",
         F.when(F.col("entity_id") % 2 == 0, "").otherwise(F.concat("name", F.lit(" own"))).alias("meta_title"),

@@ -355,3 +355,18 @@ def test_sections_are_all_kept_and_compared_whole(spark):
     # No keyword, so in text order; the last part repeats one.
     assert got[0] == "\n\n---\n\n".join(f"[SECTION {i + 1}]\n{p}" for i, p in enumerate(parts[:-1]))
     assert got[1] == "\n\n---\n\n".join(f"[SECTION {i + 1}]\n{p}" for i, p in enumerate(parts[:8]))
+
+
+def test_rewrite_candidates_behind_pages_of_another_kind(spark):
+    from types import SimpleNamespace
+
+    from registry import QUERIES
+
+    url = "https://site.example.com"
+    rows = [(f"{url}/courses/c{i}", 2, 0, 9, None) for i in range(300)] + [(f"{url}/programs/universities/c{i}", 2, i, 500, i / 500) for i in range(500)]
+    perf = spark.createDataFrame(rows, "url string, run_no int, clicks long, impressions long, ctr double")
+    # The first 420 universities have no record, odd ones have a title of their own.
+    ids = [(i if i >= 420 else 2 * i + 1001, f"N{i}") for i in range(500)]
+    entities = spark.createDataFrame(ids, "entity_id long, name string")
+    got = QUERIES["rewrite_candidates"].build(SimpleNamespace(fx_perf=perf, fx_entity=entities)).collect()
+    assert [(r.slug, r.meta_title) for r in got] == [(f"c{i}", "") for i in range(420, 440, 2)]
