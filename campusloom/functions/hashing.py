@@ -17,4 +17,5 @@ def extraction_key(text: Column) -> Column:
 
 
 def external_key(name: Column) -> Column:
-    return F.concat(F.lit("ext2:"), F.left(F.regexp_replace(F.lower(name), "[^a-z0-9]", "_"), F.lit(80)))
+    """Cache key of outside data: the hash of the whole name, case ignored."""
+    return F.concat(F.lit("ext2:"), F.sha2(F.lower(name), 256))

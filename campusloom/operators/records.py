@@ -50,16 +50,27 @@ def _strings(items: Column, longer_than: int) -> Column:
     return F.array_distinct(F.filter(texts, lambda t: t.isNotNull() & (F.length(t) > longer_than)))
 
 
-def clean_response(df: DataFrame, raw: str) -> DataFrame:
-    """Typed record columns out of a raw model response (repaired JSON)."""
+def clean_response(df: DataFrame, raw: str, limits: dict[str, int] | None = None) -> DataFrame:
+    """Typed record columns out of a raw model response (repaired JSON).
+
+    Texts and lists are whole; ``limits`` bounds those of some fields: the characters
+    of a text (for ``programs``, of a subject) or the members of a list.
+    """
+    limits = limits or {}
     base = df.withColumn("__v", F.try_parse_json(repair_json(F.col(raw))))
     v = F.col("__v")
     field = {f: _typed(v, f"$.{k}") for f, k in RESPONSE_KEYS.items()}
     none = F.array().cast("array<string>")
 
-    def text(f: str, longer_than: int, limit: int) -> Column:
+    def first(f: str, t: Column) -> Column:
+        return F.left(t, F.lit(limits[f])) if f in limits else t
+
+    def text(f: str, longer_than: int) -> Column:
         t = F.trim(field[f][0])
-        return F.when(F.length(t) > longer_than, F.left(t, F.lit(limit)))
+        return F.when(F.length(t) > longer_than, first(f, t))
+
+    def members(f: str, items: Column) -> Column:
+        return F.coalesce(F.slice(items, 1, limits[f]) if f in limits else items, none)
 
     rank_number = field["qs_ranking"][1]
     rate = F.coalesce(field["acceptance_rate"][1], leading_number(field["acceptance_rate"][0]))
@@ -78,26 +89,26 @@ def clean_response(df: DataFrame, raw: str) -> DataFrame:
     programs = F.array_distinct(
         F.transform(
             programs,
-            lambda p: F.struct(F.left(F.trim(p["category"]), F.lit(120)).alias("category"), p["level"].alias("level")),
+            lambda p: F.struct(first("programs", F.trim(p["category"])).alias("category"), p["level"].alias("level")),
         )
     )
     images = F.filter(_strings(field["image_urls"][2], 0), lambda u: is_url(u) & u.startswith("http"))
     cols = {
-        "description": text("description", 30, 800),
-        "city": text("city", 1, 100),
+        "description": text("description", 30),
+        "city": text("city", 1),
         "country": normalize_country(field["country"][0]),
         "qs_ranking": F.coalesce(
             F.when(rank_number.between(1, 1500), rank_number), parse_rank(field["qs_ranking"][0]).cast("double")
         ),
         "acceptance_rate": scale_percent(rate, inclusive=False, low=0.5),
-        "total_students": F.left(F.trim(field["total_students"][0]), F.lit(50)),
-        "tuition_fee": text("tuition_fee", 3, 200),
+        "total_students": first("total_students", F.trim(field["total_students"][0])),
+        "tuition_fee": text("tuition_fee", 3),
         "students_placed": F.when(field["students_placed"][1] >= 0, field["students_placed"][1]),
-        "intakes": F.coalesce(F.slice(_strings(field["intakes"][2], 2), 1, 6), none),
-        "admission_requirements": F.coalesce(F.slice(_strings(field["admission_requirements"][2], 5), 1, 10), none),
+        "intakes": members("intakes", _strings(field["intakes"][2], 2)),
+        "admission_requirements": members("admission_requirements", _strings(field["admission_requirements"][2], 5)),
         "programs": F.coalesce(programs, F.array().cast(PROGRAM)),
-        "similar_universities": F.coalesce(F.slice(_strings(field["similar_universities"][2], 0), 1, 8), none),
-        "image_urls": F.coalesce(F.slice(images, 1, 30), none),
+        "similar_universities": members("similar_universities", _strings(field["similar_universities"][2], 0)),
+        "image_urls": members("image_urls", images),
     }
     return base.select(*df.columns, v.isNotNull().alias("parsed"), *[c.alias(n) for n, c in cols.items()])
 
@@ -124,12 +135,16 @@ def distinct_programs(programs: Column, ignore_case: bool = True) -> Column:
     return F.filter(programs, lambda p, i: F.array_position(keys, key(p)) == i + 1)
 
 
-def repair_programs(programs: Column) -> Column:
-    """Known levels only, subjects trimmed to 2..150 characters, no repeats."""
+def repair_programs(programs: Column, limit: int | None = 150) -> Column:
+    """Known levels only, subjects trimmed, of 2 characters or more and cut at ``limit`` (None: whole), no repeats."""
+    def subject(p: Column) -> Column:
+        t = F.trim(F.coalesce(p["category"], F.lit("")))
+        return t if limit is None else F.left(t, F.lit(limit))
+
     fixed = F.transform(
         programs,
         lambda p: F.struct(
-            F.left(F.trim(F.coalesce(p["category"], F.lit(""))), F.lit(150)).alias("category"),
+            subject(p).alias("category"),
             normalize_level(p["level"]).alias("level"),
         ),
     )
@@ -138,8 +153,8 @@ def repair_programs(programs: Column) -> Column:
 
 # --- validation -----------------------------------------------------------
 
-def violations(types: dict[str, str]) -> Column:
-    """Array of "field: problem" texts for the columns of a record."""
+def violations(types: dict[str, str], description: int | None = 5000, subject: int | None = 150) -> Column:
+    """Array of "field: problem" texts for the columns of a record; None: any length."""
 
     def text(f: str, limit: int, trim: bool = False):
         c = F.trim(F.col(f)) if trim else F.col(f)
@@ -153,9 +168,13 @@ def violations(types: dict[str, str]) -> Column:
     def members(f: str, limit: int):
         return F.exists(F.col(f), lambda x: F.length(F.trim(x)) > limit), f"{f}: member longer than {limit}"
 
+    def subject_size(p: Column) -> Column:
+        n = F.length(F.trim(F.coalesce(p["category"], F.lit(""))))
+        return n >= 2 if subject is None else n.between(2, subject)
+
     rank, rate, placed = F.col("qs_ranking"), F.col("acceptance_rate"), F.col("students_placed")
     checks = [
-        text("description", 5000),
+        *([] if description is None else [text("description", description)]),
         text("city", 100, True),
         text("country", 100, True),
         number("qs_ranking", (rank != F.floor(rank.try_cast("double"))) | (rank < 1) | (rank > 1500)),
@@ -166,7 +185,7 @@ def violations(types: dict[str, str]) -> Column:
         members("intakes", 50),
         members("admission_requirements", 300),
         (
-            F.exists("programs", lambda p: ~F.length(F.trim(F.coalesce(p["category"], F.lit("")))).between(2, 150)),
+            F.exists("programs", lambda p: ~subject_size(p)),
             "programs: category length",
         ),
         (
@@ -179,8 +198,8 @@ def violations(types: dict[str, str]) -> Column:
     return F.array_compact(F.array(*[F.when(bad, F.lit(msg)) for bad, msg in checks]))
 
 
-def salvage(df: DataFrame) -> DataFrame:
-    """Repair rank, rate, lists, levels, image links and description."""
+def salvage(df: DataFrame, description: int | None = None, subject: int | None = None) -> DataFrame:
+    """Repair rank, rate, lists, levels, image links and description; with bounds, descriptions and subjects are cut there."""
     types = dict(df.dtypes)
     none = F.array().cast("array<string>")
     out = df
@@ -192,12 +211,13 @@ def salvage(df: DataFrame) -> DataFrame:
         F.filter("intakes", lambda x: x.isNotNull() & (x != "")), lambda x: normalize_intake(x)
     )
     images = F.filter("image_urls", lambda u: F.coalesce(scheme(u).startswith("http"), F.lit(False)))
-    text = F.left(_trim(F.col("description")), F.lit(5000))
+    text = _trim(F.col("description"))
+    text = text if description is None else F.left(text, F.lit(description))
     return out.withColumns(
         {
             "intakes": F.coalesce(F.array_compact(intakes), none),
             "admission_requirements": F.coalesce(distinct_ignoring_case(F.col("admission_requirements")), none),
-            "programs": F.coalesce(repair_programs(F.col("programs")), F.array().cast(PROGRAM)),
+            "programs": F.coalesce(repair_programs(F.col("programs"), subject), F.array().cast(PROGRAM)),
             "similar_universities": F.coalesce("similar_universities", none),
             "image_urls": F.coalesce(images, none),
             "description": F.when(F.length(text) >= 20, text),
@@ -205,18 +225,19 @@ def salvage(df: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame) -> DataFrame:
+def validate(df: DataFrame, description: int | None = None, subject: int | None = None) -> DataFrame:
     """Check a record, repair and check again: adds success, errors, salvaged.
 
     Records that pass keep their own values, salvaged ones get the repaired
-    ones; a record that fails twice keeps its input and its errors.
+    ones; a record that fails twice keeps its input and its errors.  With bounds,
+    longer descriptions and subjects are errors that the repair cuts.
     """
     fields = [f for f in RESPONSE_KEYS if f in df.columns]
     keys = [c for c in df.columns if c not in fields]
-    before = df.withColumn("errors", violations(dict(df.dtypes)))
+    before = df.withColumn("errors", violations(dict(df.dtypes), description, subject))
     before = before.withColumn("__in", F.struct(*[F.col(f) for f in fields]))
-    after = salvage(before)
-    after = after.withColumn("__left", violations(dict(after.dtypes)))
+    after = salvage(before, description, subject)
+    after = after.withColumn("__left", violations(dict(after.dtypes), description, subject))
     clean = F.size("errors") == 0
     fixed = F.size("__left") == 0
     types = dict(df.dtypes)
@@ -482,7 +503,8 @@ def failure_reason(issues: Column, hallucinations: Column) -> Column:
     return F.when(F.size(every) > 0, F.array_join(F.slice(every, 1, 3), "; "))
 
 
-def provenance(urls: Column, sources: Column, limit: int = 30) -> Column:
+def provenance(urls: Column, sources: Column, limit: int | None = None) -> Column:
     none = F.array().cast("array<string>")
     names = F.transform(sources, lambda s: s["source"])
-    return F.slice(F.concat(F.coalesce(urls, none), F.coalesce(names, none)), 1, limit)
+    every = F.concat(F.coalesce(urls, none), F.coalesce(names, none))
+    return every if limit is None else F.slice(every, 1, limit)

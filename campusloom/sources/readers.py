@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from campusloom import rules
 from campusloom.functions.urls import classify
-from campusloom.operators.ranking import top_per_group
 
 
 def scan(spark: SparkSession, path: str, columns: list[str] | None = None, where: Column | str | None = None, limit: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -113,8 +112,8 @@ def read_perf_pages(spark: SparkSession, path: str) -> DataFrame:
 
 # --- sitemaps -------------------------------------------------------------
 
-def read_sitemaps(spark: SparkSession, path: str, tag: str = "url", limit: int = 500) -> DataFrame:
-    """(source, ord, loc) entries of landed sitemap files, the first 500 each.
+def read_sitemaps(spark: SparkSession, path: str, tag: str = "url", limit: int | None = None) -> DataFrame:
+    """(source, ord, loc) entries of landed sitemap files, all or the first ``limit`` each.
 
     ``tag`` is ``url`` for maps and ``sitemap`` for index files.
     """
@@ -124,10 +123,12 @@ def read_sitemaps(spark: SparkSession, path: str, tag: str = "url", limit: int =
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
         F.trim("loc").alias("loc"),
     ).filter(F.col("loc") != "")
-    return top_per_group(rows, ["source"], ["at"], limit, "ord").select("source", "ord", "loc")
+    numbered = rows.withColumn("ord", F.row_number().over(W.partitionBy("source").orderBy("at")))
+    return (numbered if limit is None else numbered.filter(F.col("ord") <= limit)).select("source", "ord", "loc")
 
 
-def pick_submaps(index: DataFrame, n: int = 3) -> DataFrame:
-    """Sub-maps of an index to read: relevant names first, then file order."""
+def pick_submaps(index: DataFrame, n: int | None = 3) -> DataFrame:
+    """Sub-maps of an index to read: relevant names first, then file order; all of them for n None."""
     relevant = F.when(F.col("loc").rlike(rules.SITEMAP_RELEVANT), 0).otherwise(1)
-    return top_per_group(index.withColumn("__r", relevant), ["source"], ["__r", "ord"], n).drop("__r")
+    ranked = index.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(relevant, "ord")))
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)

@@ -370,3 +370,35 @@ def test_rewrite_candidates_behind_pages_of_another_kind(spark):
     entities = spark.createDataFrame(ids, "entity_id long, name string")
     got = QUERIES["rewrite_candidates"].build(SimpleNamespace(fx_perf=perf, fx_entity=entities)).collect()
     assert [(r.slug, r.meta_title) for r in got] == [(f"c{i}", "") for i in range(420, 440, 2)]
+
+
+def test_records_are_kept_whole(spark, tmp_path):
+    import json
+
+    from campusloom.functions.hashing import external_key
+
+    lists = {"intakes": 7, "admissionRequirements": 11, "similarUniversities": 9, "imageUrls": 31}
+    texts = {"description": 6000, "city": 150, "totalStudents": 80, "tuitionFee": 300}
+    raw = {k: [f"https://x.org/member{i}" for i in range(n)] for k, n in lists.items()} | {k: "x" * n for k, n in texts.items()}
+    subjects = ["M" * 160 + end for end in "ab"]
+    raw["programs"] = [{"category": s, "level": "PhD"} for s in subjects]
+    df = spark.createDataFrame([(1, json.dumps(raw))], "id long, raw string")
+    row = R.clean_response(df, "raw").first()
+    assert [len(row[f]) for f in ("intakes", "admission_requirements", "similar_universities", "image_urls")] == [7, 11, 9, 31]
+    assert [len(row[f]) for f in ("description", "city", "total_students", "tuition_fee")] == [6000, 150, 80, 300]
+    assert [p.category for p in row.programs] == subjects
+    few = R.clean_response(df, "raw", {"intakes": 6, "description": 800, "programs": 120}).first()
+    assert (len(few.intakes), len(few.description), [p.category for p in few.programs]) == (6, 800, ["M" * 120])
+    # A rank that needs repair: salvaged with the whole description and both subjects.
+    bad = R.clean_response(df, "raw").withColumns({"qs_ranking": F.lit("#5"), "city": F.lit("Town"), "total_students": F.lit("9"), "tuition_fee": F.lit("9")}).drop("raw", "parsed")
+    kept = R.validate(bad).first()
+    assert kept.success and kept.salvaged and len(kept.description) == 6000 and [p.category for p in kept.programs] == subjects
+    cut = R.validate(bad, 5000, 150).first()
+    assert cut.success and len(cut.description) == 5000 and len(cut.programs) == 1
+    urls = F.transform(F.sequence(F.lit(1), F.lit(31)), lambda i: i.cast("string"))
+    assert len(df.select(R.provenance(urls, F.array(F.struct(F.lit("s").alias("source"))))).first()[0]) == 32
+    (tmp_path / "m.xml").write_text("<urlset>" + "".join(f"<url><loc>https://x.org/{i}</loc></url>" for i in range(501)) + "</urlset>")
+    maps = readers.read_sitemaps(spark, str(tmp_path / "m.xml"))
+    assert [r["loc"] for r in maps.orderBy("ord").collect()] == [f"https://x.org/{i}" for i in range(501)]
+    assert readers.pick_submaps(maps, None).count() == 501
+    assert spark.createDataFrame([("n" * 80 + "a",), ("n" * 80 + "b",), ("N" * 80 + "B",)], "n string").select(external_key(F.col("n"))).distinct().count() == 2
