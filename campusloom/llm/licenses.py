@@ -40,6 +40,18 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 
+_AS_IS = "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+#: Licence texts and headers that run over many lines.
+FULL_TEXTS: tuple[tuple[str, str], ...] = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+)
+
 
 def bigrams(text: str) -> list[str]:
     words = re.findall(r"[^\W_]+", text.lower())
@@ -112,6 +124,56 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     )
 
 
+def _window_dice(grams: Column, template: list[str], threshold: float) -> Column:
+    """Best Dice coefficient of a template with windows of a text's bigrams, null below the threshold.
+
+    A window has at most as many bigrams as the size bounds allow. The best one starts and ends at a bigram
+    of the template, and holds enough of them, so only such places are compared.
+    """
+    b = len(template)
+    need, span = ceil(b * threshold / (2 - threshold) - 1e-9), int(b * (2 - threshold) / threshold + 1e-9)
+
+    def scored(hits: Column) -> Column:
+        def ends(first: Column, j: Column) -> Column:
+            near = F.filter(F.slice(hits, j + need, span), lambda h: h["at"] - first["at"] < span)
+
+            def dice(last: Column) -> Column:
+                own = F.array_distinct(F.slice(grams, first["at"] + 1, last["at"] - first["at"] + 1))
+                return 2.0 * F.size(F.filter(own, lambda g: g.isin(template))) / (F.size(own) + b)
+
+            return F.array_max(F.transform(near, dice))
+
+        return F.array_max(F.filter(F.transform(hits, ends), lambda d: d >= threshold))
+
+    places = F.transform(grams, lambda g, i: F.struct(g.alias("gram"), i.alias("at")))
+    return bound(F.filter(places, lambda p: p["gram"].isin(template)), scored)
+
+
+def scan_texts(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES + FULL_TEXTS, threshold: float = THRESHOLD) -> DataFrame:
+    """docs with license and dice of the best window of the whole text (null without one), licenses (all found, sorted).
+
+    Notices may be wrapped over lines or stand within longer sentences.
+    """
+    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
+
+    def found(grams: Column) -> Column:
+        made = [
+            F.when(_any(text, anchors(((name, notice),), threshold)), _window_dice(grams, bigrams(notice), threshold))
+            for name, notice in templates
+        ]
+        all_of = F.array(*(F.struct(d.alias("dice"), F.lit(-k).alias("place"), F.lit(name).alias("license")) for k, (d, (name, _)) in enumerate(zip(made, templates))))
+        return F.filter(all_of, lambda m: m["dice"].isNotNull())
+
+    def pairs(words: Column) -> Column:
+        return F.when(F.size(words) > 1, F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))).otherwise(F.array().cast("array<string>"))
+
+    hit = _any(text, anchors(templates, threshold))
+    out = docs.withColumn("_found", F.when(hit, bound(bound(F.split(normal(text), " "), pairs), found)))
+    top = F.array_max("_found")
+    names = F.coalesce(F.array_sort(F.array_distinct(F.transform("_found", lambda m: m["license"]))), F.array().cast("array<string>"))
+    return out.select(*docs.columns, top["license"].alias("license"), top["dice"].alias("dice"), names.alias("licenses"))
+
+
 def _any(text: Column, words: list[str]) -> Column:
     """Whether lower-case text holds one of the words; short ones as whole words, else they are in too many texts."""
     hit = F.lit(False)

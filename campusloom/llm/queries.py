@@ -25,6 +25,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def license_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "license", "dice", F.array_join("licenses", ",").alias("licenses"))
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_matches", "license", "dice", F.array_join("licenses", ",").alias("licenses"))
@@ -74,6 +79,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": license_scan,
+    "op1_license_texts": license_texts,
     "op2_source_mix": source_mix,
     "op3_quality_rules": rules,
     "op4_exact_top_k": exact_top_k,

@@ -134,6 +134,29 @@ def test_licenses_by_brute_force(docs, odd):
         assert r["license"] == (max(found)[2] if found else None)
 
 
+def test_license_texts_by_brute_force(spark, docs):
+    def best(text, notice):
+        words = re.findall(r"[^\W_]+", text.lower())
+        grams, own = [f"{a} {b}" for a, b in zip(words, words[1:])], set(licenses.bigrams(notice))
+        windows = (set(grams[i : i + n]) for n in range(1, int(1.5 * len(own)) + 1) for i in range(len(grams) - n + 1))
+        return max((2 * len(w & own) / (len(w) + len(own)) for w in windows), default=0)
+
+    full = dict(licenses.FULL_TEXTS)
+    wrap = lambda text, n=9: "\n".join(" * " + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by"
+    texts = ["# This project is licensed under the MIT License, see below.", gpl, "", "license", "Released under the\nMIT License and Licensed under CC BY\n4.0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "doc_id long, text string")
+    short = licenses.TEMPLATES
+    for r in licenses.scan_texts(df, short).collect():
+        scored = [(d, -k, n) for k, (n, t) in enumerate(short) if (d := best(r.text or "", t)) >= licenses.THRESHOLD]
+        assert (r.dice, r.license) == ((max(scored)[0], max(scored)[2]) if scored else (None, None))
+        assert r.licenses == sorted({n for _, _, n in scored})
+    got = {r.doc_id: r for r in licenses.scan_texts(df).collect()}
+    assert got[0].license == "MIT" and "GPL-3.0" in got[1].licenses
+    whole = spark.createDataFrame([(n, "Some words first.\n" + wrap(t) + "\nand after") for n, t in full.items()], "name string, text string")
+    assert all(r.dice == 1.0 and r.name in r.licenses for r in licenses.scan_texts(whole).collect())
+
+
 def test_native_operators_have_no_python(docs):
     for df in (licenses.scan(docs), quality_rules.base_measures(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
