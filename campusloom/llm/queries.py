@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, mixing, packing, pii, quality, quality_rules, search, token_files, toxicity
+from . import jaccard, licenses, mixing, near_vectors, packing, pii, prefix_trie, quality, quality_rules, search, token_files, toxicity, variants
 from .shared import cut, new_path
 from .sql import SQL
 
@@ -77,6 +77,18 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": license_scan,
     "op1_license_texts": license_texts,
@@ -89,6 +101,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": quality_classifier,
     "op9_token_id_files": token_id_files,
     "op10_personal_data": personal_data,
+    "op11_spelling_variants": spelling_variants,
+    "op12_embedding_near_dedup": embedding_near_dedup,
+    "op13_conversation_trie": conversation_trie,
 }
 
 __all__ = ["QUERIES", "SQL"]

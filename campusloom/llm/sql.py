@@ -115,4 +115,107 @@ select doc_id, min(doc_id) over (partition by case when len(w) = 0 then [doc_id:
 from words
 """
 
-SQL: dict[str, str] = {"op1_license_scan": LICENSES, "op3_quality_rules": RULES, "op4_exact_top_k": TOP_K, "op7_ngram_jaccard": JACCARD}
+#: crc32 of texts t(s): a byte's share depends only on its value and its distance from the end.
+_CRC = """single as (
+  select b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: xor(a >> 1, 3988292384 * (a & 1)) + x) as v from (select b::bigint as b from range(256) r(b))
+), shares as (
+  select b, 0::bigint as far, v from single
+  union all
+  select shares.b, far + 1, xor(shares.v >> 8, single.v) from shares join single on single.b = (shares.v & 255) where far < (select max(strlen(s)) from t)
+), starts as (
+  select 0::bigint as n, 4294967295::bigint as v
+  union all
+  select n + 1, xor(starts.v >> 8, single.v) from starts join single on single.b = (starts.v & 255) where n < (select max(strlen(s)) from t)
+), spelt as (
+  select s, strlen(s) as n, hex(encode(s)) as x from t
+), parts as (
+  select s, n, x, unnest(range(n)) as i from spelt
+), crcs as (
+  select s, xor(xor(any_value(starts.v), bit_xor(shares.v)), 4294967295) as crc
+  from parts join shares on shares.far = parts.n - 1 - i and shares.b = ('0x' || substr(x, 2 * i + 1, 2))::bigint join starts on starts.n = parts.n group by s
+)"""
+
+VARIANTS = rf"""
+with recursive runs as (
+  select coalesce(doc_id::varchar, '') as id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents
+), counted as (
+  select id, run, id || ':' || run as s, count(*) as n from runs group by all
+), t as (
+  select distinct s from counted
+), {_CRC}, spelled as (
+  select case when crc % 199 = 0 then substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) else run end as word, n from counted join crcs using (s)
+), words as (
+  select word, sum(n)::bigint as n from spelled where length(word) >= 6 group by word having sum(n) >= 5
+), cut as (
+  select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, unnest(range(1, length(word) + 1)) as i from words)
+), near as (
+  select a.word as word, b.word as other from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, w.word from cut a join words w on a.rest = w.word
+  union select w.word, a.word from cut a join words w on a.rest = w.word
+), best as (
+  select near.word, count(*) as n_near, arg_min(other, (-w.n, other)) as best, max(w.n) as best_n from near join words w on w.word = near.other group by near.word
+), formed as (
+  select words.word, case when best_n >= 5 * n then best end as form, n, coalesce(n_near, 0) as n_near, case when best_n >= 5 * n then best_n end as form_n from words left join best using (word)
+), steps as (
+  select word, word as root from formed union select steps.word, formed.form from steps join formed on formed.word = steps.root where formed.form is not null
+)
+select word, form, root, n, n_near, form_n from formed join steps using (word) where root not in (select word from formed where form is not null)
+"""
+
+NEAR_VECTORS = """
+with recursive v as (
+  select vec_id, label, case when len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0 then embedding::double[] end as x
+  from embeddings where vec_id is not null
+), links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and len(a.x) = len(b.x) and a.vec_id <> b.vec_id where list_cosine_similarity(a.x, b.x) >= 0.98
+), reach as (
+  select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a
+), low as (
+  select vec_id, least(vec_id, coalesce((select min(b) from reach where a = vec_id), vec_id)) as component_id from v
+)
+select vec_id, (select count(*) from links where a = vec_id) as n_links, component_id, vec_id = component_id as kept from low
+"""
+
+TRIE = f"""
+with recursive turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, role, text) as k from conversations where conv_id is not null
+), t as (
+  select distinct conv_id::varchar as s from turns
+), {_CRC}, ids as (
+  select s::bigint as conv_id, crc % 6 as h from crcs
+), made as (
+  select i.conv_id, role, text, k from ids i join turns on turns.conv_id = i.conv_id - i.conv_id % 100 and k <= h
+  union all
+  select i.conv_id, role, text, h + k from ids i join turns on turns.conv_id = i.conv_id and k > h
+), listed as (
+  select conv_id, list(length(role)::varchar || ':' || role || text order by k) as p, list(length(text) order by k) as sizes from made group by conv_id
+), full_ as (
+  select i.conv_id, coalesce(p, []) as p, coalesce(sizes, []) as sizes from ids i left join listed using (conv_id)
+), prefixes as (
+  select conv_id, len(p) as n, d, p[1:d] as p, case when d = 0 then 0 else sizes[d] end as size from (select *, unnest(range(len(p) + 1)) as d from full_)
+), nodes as (
+  select p, d, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(size) as saved,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d), '')) as ends_sha256
+  from prefixes group by p, d
+), children as (
+  select p[1:d - 1] as p, count(*) as n_children from nodes where d > 0 group by 1
+), own as (
+  select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children using (p)
+), upward as (
+  select p[1:u] as p, n_children, saved from (select *, unnest(range(d + 1)) as u from own)
+), sums as (
+  select p, count(*) filter (n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens from upward group by p
+)
+select own.conv_id, own.d as depth, up.conv_id as parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens, own.ends_sha256
+from own join sums using (p) left join own up on own.d > 0 and up.d = own.d - 1 and up.p = own.p[1:own.d - 1]
+"""
+
+SQL: dict[str, str] = {
+    "op1_license_scan": LICENSES,
+    "op3_quality_rules": RULES,
+    "op4_exact_top_k": TOP_K,
+    "op7_ngram_jaccard": JACCARD,
+    "op11_spelling_variants": VARIANTS,
+    "op12_embedding_near_dedup": NEAR_VECTORS,
+    "op13_conversation_trie": TRIE,
+}
