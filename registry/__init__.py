@@ -4,7 +4,7 @@ import importlib
 
 from registry.base import QUERIES, Query
 
-for _m in ("scalars", "records", "matching", "reports", "pages", "state"):
+for _m in ("scalars", "records", "matching", "reports", "sections", "pages", "state"):
     try:
         importlib.import_module(f"registry.{_m}")
     except ModuleNotFoundError as e:

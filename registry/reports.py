@@ -12,6 +12,7 @@ from registry.base import query
 from registry.matching import _LINKS, _PICK, _PRIO, links
 from registry.records import _REC
 from registry.scalars import _IMG
+from registry.sections import RANKED_SQL
 
 
 @query(
@@ -280,10 +281,10 @@ def united_pages(t):
 
 @query(
     "W8 J14 U4",
-    None,
+    RANKED_SQL,
 )
 def ranked_sections(t):
-    """Paragraphs of a text as sections; checked by brute force in the tests."""
+    """Paragraphs of a text as sections, all of them with all their words."""
     marked = F.regexp_replace("text", "\n", "[PAGE 1]")
     d = spread(t.documents.select("doc_id", "text"))
     return d.select("doc_id", ranking.preprocess_content(marked, words=None, keep=None).alias("content"))
