@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import looked_up
+from ..operators.blocks import looked_up
 from .shared import cut
 
 

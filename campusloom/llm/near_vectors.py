@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_pairs, looked_up, short_pairs, tiles, whole_groups
+from ..operators.blocks import block_pairs, looked_up, short_pairs, tiles, whole_groups
 from .groups import components, labels_of
 from .shared import cut
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.basics import bound
-from .blocks import looked_up
+from ..operators.blocks import looked_up
 from .shared import cut
 
 _ID = 24  # bytes of a turn id: 16 of the digest, 8 of the text's length in code points

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_pairs, short_pairs, tiles, whole_groups
+from ..operators.blocks import block_pairs, short_pairs, tiles, whole_groups
 from .shared import cut
 
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
