@@ -64,45 +64,3 @@ def running(
 def arrival_number(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str = "arrival_no") -> DataFrame:
     """``row_number()`` per key (1-based) without a whole key in one task."""
     return running(df, keys, order, bucket, sums={name: F.lit(1).cast("long")})
-
-
-def counts_since_reset(
-    df: DataFrame,
-    keys: list[str],
-    order: list,
-    bucket: Column,
-    micros: Column,
-    counters: dict[str, Column],
-    is_reset: Column,
-    ttl_micros: int | None = None,
-    silent: str | None = None,
-) -> DataFrame:
-    """Per event, how many times each counter fired since the last reset.
-
-    A reset row clears the counters; with ``ttl_micros`` a silence of at least
-    that long clears them too, before the row is counted (an expired state).
-    Counters must not fire on a reset row.  ``silent`` names a column that says
-    whether such a silence came before the row.
-    """
-    cols = df.columns
-    step = df.withColumn("__us", micros).withColumn("__reset", F.coalesce(is_reset, F.lit(False)))
-    for n, c in counters.items():
-        step = step.withColumn(f"__f_{n}", F.coalesce(c, F.lit(False)).cast("long"))
-    step = running(
-        step, keys, order, bucket,
-        sums={f"__r_{n}": F.col(f"__f_{n}") for n in counters},
-        maxes_before={"__prev_us": F.col("__us")},
-    )
-    expired = F.lit(False)
-    if ttl_micros is not None:
-        expired = F.coalesce(F.col("__us") - F.col("__prev_us") >= F.lit(ttl_micros), F.lit(False))
-    cleared = F.col("__reset") | expired
-    # Running counts never fall, so the value at the last reset is a running max.
-    step = running(
-        step, keys, order, bucket,
-        maxes={f"__a_{n}": F.when(cleared, F.col(f"__r_{n}") - F.col(f"__f_{n}")) for n in counters},
-    )
-    return step.select(
-        *cols, *([expired.alias(silent)] if silent else []),
-        *[(F.col(f"__r_{n}") - F.coalesce(F.col(f"__a_{n}"), F.lit(0))).alias(n) for n in counters],
-    )

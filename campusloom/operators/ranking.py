@@ -12,6 +12,7 @@ from campusloom import rules
 from campusloom.functions.text import slugify
 from campusloom.functions.urls import crawl_score
 from campusloom.operators.carry import arrival_number, running
+from campusloom.operators.scan import running_sums
 from campusloom.session import durable
 from campusloom.operators.predicates import is_failed_retry, is_partial_retry, is_unprocessed
 
@@ -61,18 +62,13 @@ def select_work(entities: DataFrame, now: Column, budget: int) -> DataFrame:
     )
 
 
-def adaptive_pages(pages: DataFrame, site: str, position: str, chars: Column, enough_chars: int = 4000, enough_pages: int = 3, block: int = 1000) -> DataFrame:
+def adaptive_pages(pages: DataFrame, site: str, position: str, chars: Column, enough_chars: int = 4000, enough_pages: int = 3) -> DataFrame:
     """Pages in order until enough characters and enough pages are there.
 
     A page that failed (NULL length) is tried but counts for neither.
     """
-    got = pages.withColumn("__n", F.coalesce(chars.cast("long"), F.lit(0))).withColumn(
-        "__ok", chars.isNotNull().cast("long")
-    )
-    r = running(
-        got, [site], [position], F.floor(F.col(position) / block),
-        sums={"__sum": F.col("__n"), "__cnt": F.col("__ok")},
-    )
+    got = pages.withColumns({"__n": F.coalesce(chars.cast("long"), F.lit(0)), "__ok": chars.isNotNull().cast("long")})
+    r = running_sums(got, [site], [position], {"__sum": F.col("__n"), "__cnt": F.col("__ok")})
     done = (F.col("__sum") - F.col("__n") >= enough_chars) & (F.col("__cnt") - F.col("__ok") >= enough_pages)
     return r.filter(~done).drop("__n", "__ok", "__sum", "__cnt")
 

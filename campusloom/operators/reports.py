@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from campusloom.functions.basics import bar, is_blank, percent
+from campusloom.functions.basics import bar, epoch_micros, is_blank, percent
 from campusloom.functions.text import normalize_category
 from campusloom.operators.predicates import has_website
+from campusloom.operators.scan import earlier_row
 
 
 def _rows(one: DataFrame, labels: list[str], label: str, value: str) -> DataFrame:
@@ -170,33 +171,14 @@ def distinct_summary(df: DataFrame, key: str, by: list[str], rsd: float | None =
     return df.select(*by, key).distinct().groupBy(*by).agg(F.count(key).alias("n_distinct"))
 
 
-def rate_and_eta(samples: DataFrame, bucket: Column, series: list[str] | None = None, window: int = 30) -> DataFrame:
+def rate_and_eta(samples: DataFrame, series: list[str] | None = None, window: int = 30) -> DataFrame:
     """Rate per hour over the last ``window`` samples and hours to go.
 
-    ``samples`` has ts, done, pending.  The oldest sample of the window is
-    found by an equi join on the sample number.
+    ``samples`` has ts (unique in a series), done, pending.
     """
-    from campusloom.functions.basics import epoch_micros
-    from campusloom.operators.carry import arrival_number
-
-    keys = series or []
-    n = arrival_number(samples, keys, ["ts"], bucket, "sample_no")
-    oldest = n.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        F.col("sample_no").alias("__no"), F.col("ts").alias("__ts"), F.col("done").alias("__done"),
-    )
-    on = F.greatest(F.col("sample_no") - (window - 1), F.lit(1)) == F.col("__no")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    ms = (epoch_micros(F.col("ts")) - epoch_micros(F.col("__ts"))) / 1000
-    grown = F.col("done") - F.col("__done")
+    old = earlier_row(samples, series or [], ["ts"], window - 1, ["ts", "done"], "sample_no")
+    ms = (epoch_micros(F.col("ts")) - epoch_micros(F.col("__old.ts"))) / 1000
+    grown = F.col("done") - F.col("__old.done")
     rate = F.when((ms > 0) & (grown > 0), F.round(grown / ms * 1000 * 3600)).otherwise(F.lit(0.0))
-    return (
-        n.join(oldest, on)
-        .withColumn("rate_per_hour", rate)
-        .withColumn(
-            "eta_hours",
-            F.when((F.col("rate_per_hour") > 0) & (F.col("pending") > 0), F.round(F.col("pending") / F.col("rate_per_hour"), 1)),
-        )
-        .select(*samples.columns, "sample_no", "rate_per_hour", "eta_hours")
-    )
+    eta = F.when((F.col("rate_per_hour") > 0) & (F.col("pending") > 0), F.round(F.col("pending") / F.col("rate_per_hour"), 1))
+    return old.withColumn("rate_per_hour", rate).withColumn("eta_hours", eta).select(*samples.columns, "sample_no", "rate_per_hour", "eta_hours")

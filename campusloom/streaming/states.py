@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from campusloom.functions.basics import epoch_micros
 from campusloom.functions.hashing import content_key, url_key
-from campusloom.operators.carry import counts_since_reset, running
+from campusloom.operators.scan import Blocks, counts_since_reset, resets, scanned
 
 HOUR = 3_600_000_000
 HEALTH_TTL = 6 * HOUR
@@ -48,20 +48,19 @@ def health_status(kind: Column, forbidden: Column, unreachable: Column) -> Colum
     )
 
 
-def crawl_health(log: DataFrame, bucket: Column | None = None) -> DataFrame:
+def crawl_health(log: DataFrame) -> DataFrame:
     """Status of the domain after every event: columns of ``log`` plus
     forbidden_count, unreachable_count and health.
 
     Needs domain, ts, event_id, status_code, error.
     """
-    b = F.date_trunc("day", F.col("ts")) if bucket is None else bucket
     kind = outcome(F.col("status_code"), F.col("error"))
     counted = counts_since_reset(
-        log.withColumn("kind", kind), ["domain"], ["ts", "event_id"], b, epoch_micros(F.col("ts")),
+        log.withColumns({"kind": kind, "__us": epoch_micros(F.col("ts"))}), ["domain"], ["ts", "event_id"], "__us",
         {"forbidden_count": F.col("kind") == "forbidden", "unreachable_count": F.col("kind") == "unreachable"},
         F.col("kind") == "ok", HEALTH_TTL,
     )
-    return counted.withColumn("health", health_status(F.col("kind"), F.col("forbidden_count"), F.col("unreachable_count")))
+    return counted.drop("__us").withColumn("health", health_status(F.col("kind"), F.col("forbidden_count"), F.col("unreachable_count")))
 
 
 def latest_health(health: DataFrame) -> DataFrame:
@@ -164,7 +163,7 @@ def crawl_health_stream(log: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 # --- breaker per key ------------------------------------------------------
 
-def breaker(calls: DataFrame, bucket: Column | None = None, idle: int | None = None) -> DataFrame:
+def breaker(calls: DataFrame, idle: int | None = None) -> DataFrame:
     """State of the breaker after every call: failures, open_until, limited_until
     (microseconds, 0 when never) and whether the key is available right then.
 
@@ -172,31 +171,50 @@ def breaker(calls: DataFrame, bucket: Column | None = None, idle: int | None = N
     With ``idle`` (microseconds) a silence of that long makes a key start afresh;
     waits that reach beyond it end with it.
     """
-    b = F.date_trunc("day", F.col("ts")) if bucket is None else bucket
-    us, order = epoch_micros(F.col("ts")), ["ts", "event_id"]
-    ok, limited = F.col("result") == "ok", F.col("result") == "limited"
-    c = counts_since_reset(calls.withColumn("__us", us), ["key"], order, b, F.col("__us"), {"failures": ~ok}, ok, idle, "__silent")
+    ok, failed, limited = (F.col("result") == r for r in ("ok", "failed", "limited"))
+    within, across, count, silent = resets("__us", ok, {"n": ~ok}, idle)
+    at = [F.col("__us").alias("us"), F.col("event_id").alias("id")]
     hint = F.coalesce(F.col("retry_after_ms"), F.lit(0)) * 1000
-    wait = F.when(hint > 0, hint).otherwise(F.least(F.lit(BACKOFF_STEP) * F.col("failures"), F.lit(BACKOFF_MAX)))
-    opened = (F.col("result") == "failed") & (F.col("failures") >= LIMIT)
-    at = F.struct(F.col("__us").alias("us"), F.col("event_id").alias("id"))
-    until = lambda end: F.struct(F.col("__us").alias("us"), F.col("event_id").alias("id"), end.alias("until"))
-    r = running(
-        c, ["key"], order, b,
-        maxes={
-            "__open": F.when(opened, at),
-            # A failure after a silence is the first one again, so it never opens the breaker.
-            "__ok": F.when(ok | F.col("__silent"), at),
-            "__lim": F.when(limited, until(F.col("__us") + wait)).when(F.col("__silent"), until(F.lit(0).cast("long"))),
-        },
-    )
-    is_open = F.col("__open").isNotNull() & (F.col("__ok").isNull() | (F.col("__open") > F.col("__ok")))
-    return (
-        r.withColumn("open_until", F.when(is_open, F.col("__open.us") + COOLDOWN).otherwise(F.lit(0)))
-        .withColumn("limited_until", F.coalesce("__lim.until", F.lit(0)))
-        .withColumn("available", (F.col("open_until") <= F.col("__us")) & (F.col("limited_until") <= F.col("__us")))
-        .drop("__open", "__ok", "__lim", "__us", "__silent")
-    )
+    zero = F.lit(0).cast("long")
+    goes_on = ~F.col("__own") & ~F.col("__gap")
+
+    def events(b: Blocks) -> dict[str, Column]:
+        # The last failure, clearing and limit of the block; counts are those of the block until the key's own are known.
+        limit = F.struct(*at, F.lit(True).alias("is_limit"), F.col("__s_n").alias("n"), hint.alias("hint"), F.col("__own").alias("own"))
+        fresh = F.struct(*at, F.lit(False).alias("is_limit"), zero.alias("n"), zero.alias("hint"), F.lit(True).alias("own"))
+        return {
+            "__failed": F.max(F.when(failed, F.struct(*at, F.col("__s_n").alias("n")))).over(b.row),
+            "__cleared": F.max(F.when(F.col("__clear"), F.struct(*at))).over(b.row),
+            "__limit": F.max(F.when(limited, limit).when(F.col("__quiet"), fresh)).over(b.row),
+        }
+
+    brought = F.when(~F.col("__gap"), F.col("__i_n")).otherwise(0)
+    here = F.col("__failed").isNotNull() & (F.col("__cleared").isNull() | (F.struct("__failed.us", "__failed.id") >= F.col("__cleared")))
+    last_count = F.col("__failed.n") + F.when(F.col("__cleared").isNull(), brought).otherwise(0)
+    open_here = F.when(last_count >= LIMIT, F.col("__failed.us") + COOLDOWN).otherwise(zero)
+    waited = F.col("__limit.n") + F.when(F.col("__limit.own"), 0).otherwise(brought)
+    wait = F.when(F.col("__limit.hint") > 0, F.col("__limit.hint")).otherwise(F.least(F.lit(BACKOFF_STEP) * waited, F.lit(BACKOFF_MAX)))
+    limit_here = F.when(F.col("__limit.is_limit"), F.col("__limit.us") + wait).otherwise(zero)
+
+    def left(b: Blocks) -> dict[str, Column]:
+        """What a block leaves behind, null where it goes on with what it found."""
+        return {
+            "__open_out": F.when(here, open_here).when(~goes_on, zero),
+            "__limit_out": F.when(F.col("__limit").isNotNull(), limit_here).when(F.col("__gap"), zero),
+        }
+
+    def found(b: Blocks) -> dict[str, Column]:
+        last = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(b.before), zero)
+        return {"__open_in": last("__open_out"), "__limit_in": last("__limit_out")}
+
+    rows = scanned(calls.withColumn("__us", epoch_micros(F.col("ts"))), ["key"], ["ts", "event_id"], [*within, events], [*across, left, found])
+    out = rows.withColumns({
+        "failures": count("n"),
+        "open_until": F.when(here, open_here).when(goes_on, F.col("__open_in")).otherwise(zero),
+        "limited_until": F.when(F.col("__limit").isNotNull(), limit_here).when(F.col("__gap"), zero).otherwise(F.col("__limit_in")),
+    })
+    available = (F.col("open_until") <= F.col("__us")) & (F.col("limited_until") <= F.col("__us"))
+    return out.select(*calls.columns, "failures", "open_until", "limited_until", available.alias("available"))
 
 
 #: A key without a call for 30 days is forgotten by the stream.

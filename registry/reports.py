@@ -203,7 +203,7 @@ FROM (SELECT ts, done, pending, row_number() OVER (ORDER BY ts) AS sample_no, fi
 )
 def processing_rate(t):
     s = t.events.select("ts", (F.col("event_id") * 3 + F.col("event_id") % 5).alias("done"), (50000 - F.col("event_id")).alias("pending"))
-    return A.rate_and_eta(s, F.date_trunc("day", F.col("ts"))).select("ts", "sample_no", "rate_per_hour", "eta_hours")
+    return A.rate_and_eta(s).select("ts", "sample_no", "rate_per_hour", "eta_hours")
 
 
 _SEC = ["admiss|apply|application", "tuition|fee|fees|cost|scholarship"]

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W, functions as F
 from campusloom import rules
 from campusloom.aliases import alias_table
 from campusloom.functions import basics as B
-from campusloom.operators import carry, graph, joins, matching as M, pages as H, predicates as P, quality as Q, ranking, records as R, reports as A
+from campusloom.operators import carry, graph, joins, matching as M, pages as H, predicates as P, quality as Q, ranking, records as R, reports as A, scan
 from campusloom.plans import backfill, enrich
 from campusloom.sources import readers, tables as S
 
@@ -43,9 +43,7 @@ def test_arrival_number_is_global_without_keys(skewed):
 
 
 def test_counts_since_reset(skewed):
-    got = carry.counts_since_reset(
-        skewed, ["k"], ["pos"], F.floor(F.col("pos") / 50), F.col("pos"), {"n": ~F.col("reset")}, F.col("reset"), ttl_micros=40
-    )
+    got = scan.counts_since_reset(skewed, ["k"], ["pos"], "pos", {"n": ~F.col("reset")}, F.col("reset"), ttl=40)
     by_key = defaultdict(list)
     for r in skewed.collect():
         by_key[r.k].append(r)
