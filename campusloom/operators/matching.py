@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from campusloom import rules
 from campusloom.functions.text import course_level, normalize_name
+from campusloom.operators.blocks import looked_up
+from campusloom.operators.scan import running_sums
 from campusloom.session import durable
 
 
@@ -167,88 +169,75 @@ def _top(scored: DataFrame, by: list[str], key: str, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _one_per_copy(index: DataFrame, key: str, k: int) -> DataFrame:
-    """Postings of at most k documents per identical posting list.
+#: Postings of a token in its first block, and how much larger each next block is.
+FIRST_BLOCK, GROWTH = 128, 8
 
-    Identical documents always score alike, so beyond the k smallest keys none
-    can reach a top k that breaks ties by key.
-    """
-    shape = index.groupBy(key).agg(
-        F.sha2(
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("token", "weight"))), lambda s: F.to_json(s)), ","),
-            256,
-        ).alias("__shape")
-    )
-    w = W.partitionBy("__shape").orderBy(key)
-    kept = shape.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= k).select(key)
-    return index.join(kept, key, "left_semi")
+
+def _in_blocks(index: DataFrame, key: str, first_block: int) -> DataFrame:
+    """(token, key, weight, less, block): postings of a token by falling weight, then key, in blocks that grow by GROWTH."""
+    ranked = running_sums(index.withColumn("less", -F.col("weight")), ["token"], ["less", key], {"__rank": F.lit(1).cast("long")})
+    place = F.ceil(F.log(F.col("__rank") / first_block) / F.log(F.lit(float(GROWTH))))
+    return ranked.withColumn("block", F.when(F.col("__rank") <= first_block, 0).otherwise(F.greatest(place, F.lit(1))).cast("int")).drop("__rank")
 
 
-def search(queries: DataFrame, text: str, index: DataFrame, key: str, k: int = 5, hot_limit: int = 50_000) -> DataFrame:
+def _next_blocks(at: DataFrame, heads: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """at (set_id, token, df, block) with ``go``: whether the token's next block can still change the set's top k.
+
+    A document in none of a set's joined blocks scores at most the sum of the largest weights of the next
+    blocks; at that sum exactly, its key is not below the first key of any of them.  Where that cannot
+    pass the k-th score, the set is done.  Else the tokens in most documents that together stay below
+    the k-th score need no further block: a document without another token of the set cannot enter.
+    """
+    bar = best.filter(F.col("rank") == k).select("set_id", F.col("score").alias("theta"), F.col("key").alias("kappa"))
+    bounds = looked_up(at, ["token", "block"], heads, "set_id").join(bar, "set_id", "left")
+    own = W.partitionBy("set_id")
+    hottest = own.orderBy(F.desc("df"), "token").rowsBetween(W.unboundedPreceding, W.currentRow)
+    weight = F.coalesce("most", F.lit(0.0))
+    bounds = bounds.withColumns({"sum": F.sum(weight).over(own), "low": F.max("first").over(own), "upto": F.sum(weight).over(hottest)})
+    full = F.col("theta").isNotNull()
+    done = full & ((F.col("sum") < F.col("theta")) | ((F.col("sum") == F.col("theta")) & (F.col("low") > F.col("kappa"))))
+    go = F.col("most").isNotNull() & ~done & ~(full & (F.col("upto") < F.col("theta")))
+    return bounds.select("set_id", "token", "df", "block", F.coalesce(go, F.lit(False)).alias("go"))
+
+
+def search(queries: DataFrame, text: str, index: DataFrame, key: str, k: int = 5, first_block: int = FIRST_BLOCK) -> DataFrame:
     """Top k documents per distinct query text: (text, key, score, rank).
 
-    The score is the sum of the weights of the matching tokens.  Queries are
-    reduced to the distinct sets of tokens the index knows.  A token in more
-    than ``hot_limit`` documents generates no candidate pairs: documents that
-    share only such tokens are ranked once per distinct hot subset, and all
-    others get their hot weights by a join on (token, key).  Both together hold
-    every member of the exact top k.
+    The score is the sum of the weights of the matching tokens, ties go to the smaller key.  Queries are
+    reduced to the distinct sets of tokens the index knows, and the index to the tokens they ask for.
+    Each token's postings lie in blocks by falling weight; round by round, sets meet only blocks that can
+    still change their top k (see :func:`_next_blocks`).  The result is exact.
     """
-    # Both are read several times below: written once, they cost one pass over
-    # the documents and one over the queries.
-    index = durable(_one_per_copy(index, key, k))
-    vocabulary = index.groupBy("token").agg((F.count(F.lit(1)) > hot_limit).alias("hot"))
-    distinct = queries.select(F.col(text)).distinct()
-    known = durable(
-        distinct.select(F.col(text), F.explode(tokens(F.col(text))).alias("token"))
-        .join(vocabulary, "token")
-        .groupBy(text)
-        .agg(
-            F.array_sort(F.collect_set(F.when(~F.col("hot"), F.col("token")))).alias("rare"),
-            F.array_sort(F.collect_set(F.when(F.col("hot"), F.col("token")))).alias("common"),
-        )
-        .withColumn("set_id", F.concat(F.array_join("rare", " "), F.lit("|"), F.array_join("common", " ")))
-    )
-    sets = known.select("set_id", "rare", "common").distinct()
-    by_rare = (
-        sets.select("set_id", "common", F.explode("rare").alias("token"))
-        .join(index, "token")
-        .groupBy("set_id", key)
-        .agg(F.sum("weight").alias("score"), F.first("common").alias("common"))
-    )
-    best = by_rare.select("set_id", key, "score")
-    if not vocabulary.filter("hot").isEmpty():
-        best = _with_hot_tokens(sets, by_rare, index, vocabulary, key, k)
-    top = _top(best, ["set_id"], key, k)
-    return known.select(text, "set_id").join(top, "set_id").select(text, key, "score", "rank")
-
-
-def _with_hot_tokens(sets: DataFrame, by_rare: DataFrame, index: DataFrame, vocabulary: DataFrame, key: str, k: int) -> DataFrame:
-    """Scores with the weights of hot tokens, and the best by those alone."""
-    extra = (
-        by_rare.select("set_id", key, F.explode("common").alias("token"))
-        .join(index, ["token", key])
-        .groupBy("set_id", key)
-        .agg(F.sum("weight").alias("extra"))
-    )
-    full = by_rare.join(extra, ["set_id", key], "left").select(
-        "set_id", key, (F.col("score") + F.coalesce("extra", F.lit(0.0))).alias("score")
+    asked = queries.select(F.col(text)).distinct().select(F.col(text), F.explode(tokens(F.col(text))).alias("token"))
+    asked = durable(asked)
+    pruned = looked_up(index, ["token"], asked.select("token").distinct(), key, "inner")
+    postings = durable(_in_blocks(pruned, key, first_block).withColumnRenamed(key, "key"))
+    heads = postings.groupBy("token", "block").agg(
+        F.max("weight").alias("most"), F.min(F.struct("less", "key")).alias("f"), F.count(F.lit(1)).alias("n")
     )
-    hot_index = _one_per_copy(index.join(vocabulary.filter("hot").select("token"), "token", "left_semi"), key, k)
-    subset = F.array_join("common", " ").alias("subset")
-    common = _top(
-        sets.filter(F.size("common") > 0).select(subset, "common").distinct()
-        .select("subset", F.explode("common").alias("token"))
-        .join(hot_index, "token")
-        .groupBy("subset", key)
-        .agg(F.sum("weight").alias("score")),
-        ["subset"], key, k,
-    ).drop("rank")
-    from_common = sets.select("set_id", subset).join(common, "subset").select("set_id", key, "score")
-    return full.unionByName(from_common).groupBy("set_id", key).agg(F.max("score").alias("score"))
-
-
-def match_programs(programs: DataFrame, courses: DataFrame, weights: dict[str, float] | None = None, k: int = 5, floor: float = rules.MATCH_FLOOR, hot_limit: int = 50_000) -> DataFrame:
+    heads = durable(heads.select("token", "block", "most", F.col("f.key").alias("first"), "n"))
+    documents = durable(postings.groupBy("key").agg(F.collect_list(F.struct("token", "weight")).alias("p")))
+    frequency = heads.groupBy("token").agg(F.sum("n").alias("df"))
+    known = looked_up(asked, ["token"], frequency, text, "inner").groupBy(text).agg(F.array_sort(F.collect_list("token")).alias("set"))
+    known = durable(known.withColumn("set_id", F.array_join("set", " ")))
+    sets = known.select("set_id", "set").distinct().select("set_id", F.explode("set").alias("token"))
+    at = looked_up(sets, ["token"], frequency, "set_id").select("set_id", "token", "df", F.lit(0).alias("block"), F.lit(True).alias("go"))
+    best, at = None, durable(at)
+    while best is None or not at.filter("go").isEmpty():
+        met = at.filter("go").join(postings.select("token", "block", "key"), ["token", "block"]).select("set_id", "key").distinct()
+        full = looked_up(met, ["key"], documents, "set_id", "inner")
+        own = F.split("set_id", " ")
+        score = F.aggregate(F.filter("p", lambda p: F.array_contains(own, p["token"])), F.lit(0.0), lambda s, p: s + p["weight"])
+        scored = full.select("set_id", "key", score.alias("score"))
+        if best is not None:
+            scored = scored.unionByName(best.drop("rank")).distinct()
+        best = durable(_top(scored, ["set_id"], "key", k))
+        moved = at.select("set_id", "token", "df", (F.col("block") + F.col("go").cast("int")).alias("block"))
+        at = durable(_next_blocks(moved, heads, best, k))
+    return known.select(text, "set_id").join(best.withColumnRenamed("key", key), "set_id").select(text, key, "score", "rank")
+
+
+def match_programs(programs: DataFrame, courses: DataFrame, weights: dict[str, float] | None = None, k: int = 5, floor: float = rules.MATCH_FLOOR, first_block: int = FIRST_BLOCK) -> DataFrame:
     """Best course per distinct (category, level): adds course_id, NULL without a match.
 
     Among the k most relevant courses a course of the program's level is
@@ -256,7 +245,7 @@ def match_programs(programs: DataFrame, courses: DataFrame, weights: dict[str, f
     """
     wanted = durable(programs.select("category", "level").distinct().withColumn("__q", F.trim("category")))
     index = token_index(courses, "course_id", weights or {c: w for c, w in rules.COURSE_WEIGHTS.items() if c in courses.columns})
-    found = search(wanted.filter("__q <> ''"), "__q", index, "course_id", k, hot_limit)
+    found = search(wanted.filter("__q <> ''"), "__q", index, "course_id", k, first_block)
     levels = courses.select("course_id", F.col("level").alias("course_level"))
     listed = (
         found.join(levels, "course_id")

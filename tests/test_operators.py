@@ -72,8 +72,8 @@ def brute_search(queries, docs, weights, k):
     return out
 
 
-@pytest.mark.parametrize("hot_limit", [3, 15, 10_000])
-def test_search_is_exact_for_any_hot_limit(spark, hot_limit):
+@pytest.mark.parametrize("first_block", [1, 7, 10_000])
+def test_search_is_exact_for_any_blocks(spark, first_block):
     rnd = random.Random(3)
     words = ["data", "law", "art", "the", "bio", "music", "civil", "nano"]
     pick = lambda n: " ".join(rnd.choice(words[: rnd.choice([2, 5, 8])]) for _ in range(n))
@@ -82,7 +82,7 @@ def test_search_is_exact_for_any_hot_limit(spark, hot_limit):
     d = spark.createDataFrame([(x["id"], x["title"], x["field"]) for x in docs], "id long, title string, field string")
     q = spark.createDataFrame([(x,) for x in queries], "q string")
     weights = {"title": 10, "field": 6}
-    got = M.search(q, "q", M.token_index(d, "id", weights), "id", 5, hot_limit).collect()
+    got = M.search(q, "q", M.token_index(d, "id", weights), "id", 5, first_block).collect()
     assert {(r.q, r["rank"]): (r.id, r.score) for r in got} == brute_search(queries, docs, weights, 5)
 
 
@@ -400,3 +400,25 @@ def test_records_are_kept_whole(spark, tmp_path):
     assert [r["loc"] for r in maps.orderBy("ord").collect()] == [f"https://x.org/{i}" for i in range(501)]
     assert readers.pick_submaps(maps, None).count() == 501
     assert spark.createDataFrame([("n" * 80 + "a",), ("n" * 80 + "b",), ("N" * 80 + "B",)], "n string").select(external_key(F.col("n"))).distinct().count() == 2
+
+
+def test_search_joins_only_blocks_that_can_enter(spark, monkeypatch):
+    """One token in every document, asked for by every query: the first block settles it, whatever the table's size."""
+    met = []
+    monkeypatch.setattr(M, "durable", lambda df, cut=M.durable: (met.append(df) if df.columns[:2] == ["set_id", "key"] else None) or cut(df))
+    docs = spark.range(3000).select("id", F.when(F.col("id") % 500 == 7, "common rare").otherwise("common").alias("title"))
+    queries = spark.createDataFrame([("common",), ("rare common",), ("Common!",), ("rare",)], "q string")
+    got = {}
+    for r in M.search(queries, "q", M.token_index(docs, "id", {"title": 10}), "id", 3, first_block=6).orderBy("q", "rank").collect():
+        got.setdefault(r.q, []).append((r.id, r.score))
+    rare = [(7, 20.0), (507, 20.0), (1007, 20.0)]
+    assert got == {"common": [(0, 10.0), (1, 10.0), (2, 10.0)], "Common!": [(0, 10.0), (1, 10.0), (2, 10.0)], "rare common": rare, "rare": [(i, 10.0) for i, _ in rare]}
+    assert len(met) == 1
+
+
+def test_search_without_matches_nulls_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, None), (2, "")], "id long, title string")
+    index = M.token_index(docs, "id", {"title": 1})
+    queries = spark.createDataFrame([(None,), ("",), ("law",)], "q string")
+    assert M.search(queries, "q", index, "id").collect() == []
+    assert M.search(queries.limit(0), "q", index, "id").collect() == []
