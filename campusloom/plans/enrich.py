@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from campusloom import rules
@@ -48,21 +50,35 @@ def score_records(
     return out.withColumn("is_enriched", F.col("status").isin("completed", "partial")).withColumn("reason", reason)
 
 
+@dataclass(frozen=True)
+class Enriched:
+    """Records with status and resolved country; their course links are computed when asked for."""
+
+    records: DataFrame
+    courses: DataFrame
+
+    def programs(self) -> DataFrame:
+        """(entity_id, category, level, course_id) of the valid records, course_id NULL without a match."""
+        programs = self.records.filter("success").select("entity_id", F.explode("programs").alias("p")).select(
+            "entity_id", "p.category", "p.level"
+        )
+        return link_programs(programs, match_programs(programs, self.courses))
+
+    def links(self) -> DataFrame:
+        """Distinct (entity_id, course_id)."""
+        return matched_courses(self.programs())
+
+
 def enrich_catalog(
     entities: DataFrame, extracted: DataFrame, external: DataFrame, model: DataFrame,
     countries: DataFrame, courses: DataFrame, by_country: DataFrame,
-) -> dict[str, DataFrame]:
-    """Records with status and resolved country, and their course links."""
-    # Read twice, for placing and for linking: scored once, kept durably.
+) -> Enriched:
+    """The whole record job.  Records are scored once and kept durably, for placing and for linking."""
     scored = durable(score_records(extracted, external, entities, model, by_country))
     placed = resolve_country(
         scored.join(entities.select("entity_id", "country_id"), "entity_id"), countries, "country", "country_id"
     )
-    programs = scored.filter("success").select("entity_id", F.explode("programs").alias("p")).select(
-        "entity_id", "p.category", "p.level"
-    )
-    linked = link_programs(programs, match_programs(programs, courses))
-    return {"records": placed, "programs": linked, "links": matched_courses(linked)}
+    return Enriched(placed, courses)
 
 
 def enrich_external_only(external: DataFrame, names: DataFrame, by_country: DataFrame) -> DataFrame:

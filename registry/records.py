@@ -9,6 +9,7 @@ from campusloom.functions import basics as B, seo
 from campusloom.operators import joins, predicates as P, quality as Q, ranking, records as R
 from campusloom.plans import enrich
 from registry.base import query
+from registry.matching import _LINKS
 from registry.scalars import BRAND
 
 NOW = "2024-02-01 00:00:00"
@@ -459,8 +460,17 @@ _F = _DECIDED.format(score=_SCORE, rank=_RANK_BAD, rate=_RATE_BAD, rec=_FILLED)
 FROM (SELECT *, {_VALID} AS ok FROM {_D.replace(_REC, _FILLED)}) d LEFT JOIN (SELECT name AS cname, country_id FROM fx_country) c ON lower(c.cname) = lower(d.country)""",
 )
 def enriched_catalog(t):
-    out = enrich.enrich_catalog(t.fx_entity, _extracted(t), _external(t), _model(t), t.fx_country, t.fx_course, _rules(t))
-    return out["records"].select(
+    return _enriched(t).records.select(
         "entity_id", "success", F.round("confidence_score", 3).alias("score"), "status",
         F.array_join("missing_fields", ",").alias("missing"), "resolved_country_id",
     )
+
+
+def _enriched(t):
+    return enrich.enrich_catalog(t.fx_entity, _extracted(t), _external(t), _model(t), t.fx_country, t.fx_course, _rules(t))
+
+
+@query("Q8 J11", f"SELECT DISTINCT l.entity_id, l.course_id FROM {_LINKS} l JOIN (SELECT entity_id FROM (SELECT *, {_VALID} AS ok FROM {_D.replace(_REC, _FILLED)}) x WHERE ok) d ON d.entity_id = l.entity_id")
+def enriched_links(t):
+    """Courses of the programs of valid records: the second half of the record job."""
+    return _enriched(t).links()
