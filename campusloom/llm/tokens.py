@@ -8,7 +8,7 @@ from array import array
 import numpy as np
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_MOST_KEPT = 1_200_000  # about 250 MB
+_MOST_KEPT = 800_000  # of each of two generations, together about 330 MB
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _USUAL = re.compile(f"[\\x21-\\x7e{_LETTERS}]+")
 _ODD_STOP = re.compile(f"[^{_LETTERS}0-9][,.][ \\n]")
@@ -33,14 +33,16 @@ class TextEncoder:
     starts a new part and a line end is a part of its own, so that " word" has the same ids in
     every such text and is kept. Words of usual characters are split by the file's pattern here and
     merged by the library's model; any other word or text goes to the library whole. The kept
-    words are bounded and start anew when full. Strings of special tokens are ordinary text.
+    words are bounded: when full they become the older generation, from which words that come again are taken over. A text that holds the string of a special token is given to the
+    library as it is, which makes it that token.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
         self.merge = self.tokenizer.model.tokenize
         self.kept = _Kept(self)
 
@@ -52,7 +54,7 @@ class TextEncoder:
         out, get = [], self.kept.__getitem__
         for text in texts:
             if len(self.kept) > _MOST_KEPT:
-                self.kept.clear()
+                self.kept.turn()
             parts = self._parts(text) if text else []
             out.append(self.whole(text) if parts is None else b"".join(map(get, parts)))
         return out
@@ -62,12 +64,15 @@ class TextEncoder:
 
         What follows a space in the text is given as it is, anything else with \\r before it.
         """
-        if _OTHER_SPACE.search(text):
+        if _OTHER_SPACE.search(text) or self.special(text):
             return None
         if not _ODD_STOP.search(text):
             text = text.replace(", ", " \r, ").replace(". ", " \r. ").replace(".\n", " \r.\n")
-        parts = ("\r" + text.replace("\n", " \r\n \r")).split(" ")
-        return None if "" in parts or "\r" in parts else parts
+        text = "\r" + text.replace("\n", " \r\n \r")
+        # Nothing between two spaces, or a line end beside white space.
+        if "  " in text or " \r " in text or text.startswith("\r ") or text.endswith((" ", " \r")) or text == "\r":
+            return None
+        return text.split(" ")
 
     def word(self, word: str) -> bytes:
         """Ids of a word in the form of _parts."""
@@ -83,15 +88,21 @@ class TextEncoder:
 
 
 class _Kept(dict):
-    """Ids by word, made when first asked for."""
+    """Ids by word, made when first asked for or taken over from the older generation."""
 
     def __init__(self, encoder: TextEncoder):
         self.encoder = encoder
+        self.older: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
+        ids = self.older.get(word)
+        if ids is None and word.isascii() and word.isalpha():
             ids = array("I", [t.id for t in self.encoder.merge("\u0120" + word)]).tobytes()
-        else:
+        elif ids is None:
             ids = self.encoder.word(word)
         self[word] = ids
         return ids

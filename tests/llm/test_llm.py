@@ -248,12 +248,49 @@ def test_top_k_by_brute_force(spark):
 
 def test_encoder_equals_library():
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
-    texts = ["", "a", " a", "a ", "a  b", "a\n\nb", "x\ty", "<|endoftext|> hi", "é ü\nß, Ça.", "don't I'll\n'tis 12 3.4", "a\xa0b", "a. b", "a,, b", ". a", "x). y", "1. 2, 3.\nA, ", "x² ½ 漢字 😀, ok", "a\x0bb", LONG]
+    texts = ["", "a", " a", "a ", "a  b", "a\n\nb", "x\ty", "<|endoftext|> hi", "é ü\nß, Ça.", "don't I'll\n'tis 12 3.4", "a\xa0b", "a. b", "a,, b", ". a", "x). y", "1. 2, 3.\nA, ", "x² ½ 漢字 😀, ok", "a\x0bb", "a <|endoftext|> b", "no<|endoftext|>gap, <|endoftext", "\n", " \n", "a\n", "\na", "a \nb", "a\n b", "a\r b", LONG]
     for text, ids in zip(texts, TextEncoder(VOCABULARY).encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:20]
 
 
+def test_encoder_keeps_words_over_generations(monkeypatch):
+    monkeypatch.setattr("campusloom.llm.tokens._MOST_KEPT", 5)
+    texts = [f"every word {k}, again number{k % 3} here." for k in range(30)]
+    encoder, tokenizer = TextEncoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.kept) + len(encoder.kept.older) < 40
+
+
+def test_token_files_of_rows_that_share_an_id(spark):
+    """Several texts under one id and under none: places are those of the files, and one id is spread over files."""
+    texts = [f"text {'word ' * (k % 7)}{k}" for k in range(300)]
+    rows = [(5 if k % 3 else None, t) for k, t in enumerate(texts)] + [(5, "equal")] * 200 + [(4, "a <|endoftext|> b"), (6, None)]
+    path = shared.new_path(spark, "test-ids")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        token_files.write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, VOCABULARY, end_id=2)
+    finally:
+        spark.conf.unset(merging)
+    files = token_files.read_ids(spark, path)
+    stored = sorted((r for r in files.collect()), key=lambda r: (r["chunk"], r["row"]))
+    known = [r["doc_id"] for r in stored]
+    assert known == sorted(known, key=lambda i: (i is not None, i or 0)) and len(stored) == len(rows)
+    start, want = 0, []
+    for r in stored:
+        want.append((start, r["doc_id"], len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes())))
+        start += len(r["ids"])
+    assert sorted(tuple(r) for r in token_files.positions(files).select("start", "doc_id", "n_tokens", "ids_crc32").collect()) == want
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    full = sorted((i is not None, i or 0, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows)
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["ids"]) for r in stored) == full
+    assert files.filter("doc_id = 5").select("chunk").distinct().count() > 1
+    for name in {r["chunk"] for r in stored}:  # a row's number is its place in its file
+        numbers = [r["row"] for r in files.filter(F.col("chunk") == name).select("row").collect()]
+        assert numbers == list(range(len(numbers)))
+
+
 def test_plan_against_exhaustive_search():
     rng = np.random.default_rng(2)
     for _ in range(50):
@@ -275,7 +312,6 @@ def test_plan_against_exhaustive_search():
 
 def test_packing_places_every_piece(spark, docs, odd, none):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     rows = docs.filter("doc_id > 10").unionByName(odd, allowMissingColumns=True)
     out = packing.pack(shared.cut(packing.pieces(rows, VOCABULARY, 128), "p"), 128, group_rows=10).toPandas()
     lengths = [len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in rows.collect()]
@@ -292,7 +328,6 @@ def test_packing_places_every_piece(spark, docs, odd, none):
 
 def test_token_files_round_trip(spark, docs, odd, none):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     rows = docs.filter("doc_id > 10").unionByName(odd, allowMissingColumns=True)
     path = shared.new_path(spark, "test-ids")
     token_files.write_ids(rows, path, VOCABULARY, end_id=2)
