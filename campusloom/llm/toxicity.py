@@ -4,9 +4,10 @@ Terms are the lower-case words and the first letters of longer words, hashed to
 a text has each term once. The score is logistic in
     bias + sum(w_i) + sum over pairs (v_i . v_j)
 so that pairs of terms weigh beyond their sum; the pair sum takes one pass:
-((sum v_i)^2 - sum v_i^2) / 2. Terms that fewer than `least_docs` training texts hold, or that
-both kinds of texts hold about equally often (a difference below `least_z` standard errors), keep
-weight zero. Training runs on a bounded sample of labelled rows (`most_rows`) by Adagrad on
+((sum v_i)^2 - sum v_i^2) / 2. A term in `least_share` of the training texts has factors
+whatever its own rate in either kind, so that a neutral term, such as a group mention, counts in the pairs
+it forms. A term that the two kinds hold at different rates (by `least_z` standard errors) and
+`least_docs` texts hold has factors and a weight of its own. Other terms count nothing. Training runs on a bounded sample of labelled rows (`most_rows`) by Adagrad on
 mini-batches; a text contributes at most 2**18 places however long it is.
 
 Null and empty texts have no term and score by the bias. Without labels every score is 0.5.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -60,9 +62,13 @@ class Machine:
     weights: np.ndarray  # [place]
     factors: np.ndarray  # [place, factor]
 
+    @cached_property
+    def held(self) -> np.ndarray:
+        return (self.weights != 0) | self.factors.any(1)
+
     def margins(self, places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         # Most places are unknown and count nothing: they are left out before any sum.
-        known = np.flatnonzero(self.weights[places])
+        known = np.flatnonzero(self.held[places])
         bounds = np.searchsorted(known, bounds)
         v = self.factors[places[known]]
         return self.bias + _sums(self.weights[places[known]], bounds) + 0.5 * (_sums(v, bounds) ** 2 - _sums(v**2, bounds)).sum(1)
@@ -71,7 +77,7 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margins(places, bounds), -30, 30)))
 
 
-def fit(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, factors: int = 4, epochs: int = 15, batch: int = 256, rate: float = 0.3, decay: float = 2e-5, least_docs: int = 4, least_z: float = 3.0) -> Machine:
+def fit(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, factors: int = 4, epochs: int = 15, batch: int = 256, rate: float = 0.3, decay: float = 2e-5, least_docs: int = 4, least_z: float = 3.0, least_share: float = 0.03) -> Machine:
     size = 1 << BITS
     rng = np.random.default_rng(7)
     docs_with = np.bincount(places, minlength=size)
@@ -79,7 +85,8 @@ def fit(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, factors: int = 4,
     ones, p = max(y.sum(), 1.0), docs_with / max(len(y), 1)
     zeros = max(len(y) - ones, 1.0)
     z = abs(ones_with / ones - (docs_with - ones_with) / zeros) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / ones + 1 / zeros))
-    held = (docs_with >= least_docs) & (z >= least_z)
+    alone = (docs_with >= least_docs) & (z >= least_z)  # terms with a weight of their own
+    held = alone | (docs_with >= max(least_docs, least_share * len(y)))
     w, v = np.zeros(size, np.float32), (rng.normal(0, 0.01, (size, factors)) * held[:, None]).astype(np.float32)
     if not len(y):
         return Machine(0.0, w, v)
@@ -105,10 +112,9 @@ def fit(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, factors: int = 4,
             dv = np.column_stack([np.bincount(inverse, e * (sums[row, f] - v[p, f]), len(terms)) for f in range(factors)]) + decay * v[terms]
             gw[terms] += dw**2
             gv[terms] += dv**2
-            w[terms] -= rate * dw / np.sqrt(gw[terms])
+            w[terms] -= rate * dw / np.sqrt(gw[terms]) * alone[terms]
             v[terms] -= 0.3 * rate * dv / np.sqrt(gv[terms])
             bias -= rate * error.sum()
-    w[~held] = 0
     return Machine(float(bias), w, v)
 
 

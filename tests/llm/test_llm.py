@@ -360,6 +360,21 @@ def test_trees_learn_a_conjunction():
     assert one.margins(row[None])[0] == model.value[0][node - 15]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_machine_learns_a_pair_without_effects_of_its_own(seed):
+    """Both words are equally frequent in either kind of text; only their meeting decides. Judged on texts not learnt from."""
+    rng = np.random.default_rng(seed)
+    texts, y = [], []
+    for _ in range(6000):
+        a, b = rng.random(2) < 0.5
+        texts.append(" ".join(["insult"] * int(a) + ["group"] * int(b) + [f"w{rng.integers(400)}" for _ in range(12)]))
+        y.append(float(a == b))
+    places, bounds = toxicity.hashed_terms(texts)
+    cut, y = bounds[5000], np.array(y)
+    model = toxicity.fit(places[:cut], bounds[:5001], y[:5000])
+    assert ((model.scores(places[cut:], bounds[5000:] - cut) > 0.5) == y[5000:]).mean() > 0.95
+
+
 def test_machine_learns_pairs():
     rng = np.random.default_rng(6)
     texts, y = [], []
@@ -372,7 +387,7 @@ def test_machine_learns_pairs():
     scores = model.scores(places, bounds)
     assert ((scores > 0.5) == np.array(y)).mean() > 0.98
     own = places[bounds[3] : bounds[4]]
-    known = own[model.weights[own] != 0]
+    known = own[model.held[own]]
     pairs = sum(float(model.factors[i] @ model.factors[j]) for k, i in enumerate(known) for j in known[k + 1 :])
     assert model.margins(own, np.array([0, len(own)]))[0] == pytest.approx(model.bias + model.weights[known].sum() + pairs, abs=1e-4)
 
