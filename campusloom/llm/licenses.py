@@ -1,15 +1,20 @@
-"""License scans: lines and sentences against licence notices by the Dice coefficient over word bigrams.
-
-A text's units are its lines and the sentences of its lines. Normalised, a unit is its lower-case
-runs of letters and digits. Of a unit with a distinct bigrams, only templates with b bigrams and
-a * t / (2 - t) <= b <= a * (2 - t) / t can reach the coefficient t. A second prune comes from
-the same bound: a unit that reaches t shares at least b * t / (2 - t) bigrams with the template, so
-it holds one of a few anchor words that enough bigrams of every template touch. Units without an
-anchor are dropped before bigrams are made; neither prune loses a match.
-
-All work is within the row: no shuffle, no join. Null and empty texts, and texts without units,
-have no match. Ties go to the template that comes first. Repeated rows each get their result;
-extra columns stay. Units of one word have no bigram and match nothing.
+"""License scans: whole texts against licence notices and passages by the Dice coefficient over word bigrams.
+
+Normalised, a text is its lower-case runs of letters and digits; its bigrams are pairs of neighbours.
+`scan_texts` compares every window of the text with every template: with b distinct bigrams in the
+template, only windows of at most b * (2 - t) / t bigrams that share at least b * t / (2 - t) of them
+can reach the coefficient t. The best window starts and ends at a bigram of the template. A place
+starts windows only if that many bigrams of the template follow within the size bound, so most texts
+are done after one look-up per bigram. From such a place one pass over the window gives the coefficient
+at every end: a bigram is new to a window if its last place before lies ahead of the window's start.
+The work is linear in the text, and exact. Texts without one of the templates' anchor words are left
+out before bigrams are made; enough bigrams of every template touch one, so no match is lost.
+
+`scan` compares lines and sentences only.
+
+All work is within the row: no shuffle, no join. Null and empty texts, and texts of one word, have no
+match. Ties go to the template that comes first. Repeated rows each get their result. Extra columns
+stay; those named like a column of the result are replaced by it. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 _AS_IS = "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 _BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
-#: Licence texts and headers that run over many lines.
+#: Licence texts and headers that run over many lines; long licences by their openings and grants.
 FULL_TEXTS: tuple[tuple[str, str], ...] = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS),
     ("BSD-2-Clause", _BSD),
@@ -50,6 +55,15 @@ FULL_TEXTS: tuple[tuple[str, str], ...] = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("Apache-2.0", "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. License shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. Licensor shall mean the copyright owner or entity authorized by the copyright owner that is granting the License."),
+    ("Apache-2.0", "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users."),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains free software for all its users."),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software. Contributor Version means the combination of the Contributions of others (if any) used by a Contributor and that particular Contributor's Contribution."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 
 
@@ -113,65 +127,99 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     held = F.filter(units(text), lambda u: bound(F.lower(u), lambda x: _any(x, words)))
     matches = F.filter(F.transform(held, lambda u: best_template(u, templates, threshold)), lambda m: m.isNotNull())
     empty = F.array().cast("array<struct<dice:double,place:int,license:string>>")
-    found = docs.withColumn("_matches", F.when(hit, matches).otherwise(empty))
-    top = F.array_max("_matches")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_matches", "license", "dice", "licenses")]
+    found = docs.select(*kept, F.when(hit, matches).otherwise(empty).alias("_license_matches"))
+    top = F.array_max("_license_matches")
     return found.select(
-        *docs.columns,
-        F.size("_matches").cast("long").alias("n_matches"),
+        *kept,
+        F.size("_license_matches").cast("long").alias("n_matches"),
         top["license"].alias("license"),
         top["dice"].alias("dice"),
-        F.array_sort(F.array_distinct(F.transform("_matches", lambda m: m["license"]))).alias("licenses"),
+        F.array_sort(F.array_distinct(F.transform("_license_matches", lambda m: m["license"]))).alias("licenses"),
     )
 
 
-def _window_dice(grams: Column, template: list[str], threshold: float) -> Column:
-    """Best Dice coefficient of a template with windows of a text's bigrams, null below the threshold.
-
-    A window has at most as many bigrams as the size bounds allow. The best one starts and ends at a bigram
-    of the template, and holds enough of them, so only such places are compared.
-    """
+def _reach(template: list[str], threshold: float) -> tuple[int, int]:
+    """The least number of shared bigrams and the longest window by which a template can reach the threshold."""
     b = len(template)
-    need, span = ceil(b * threshold / (2 - threshold) - 1e-9), int(b * (2 - threshold) / threshold + 1e-9)
+    return ceil(b * threshold / (2 - threshold) - 1e-9), int(b * (2 - threshold) / threshold + 1e-9)
+
+
+def _among(name: str, grams: list[str]) -> str:
+    """SQL for membership in a list of bigrams, which hold only letters, digits and spaces; parsed at once, not one call each."""
+    return f"{name} in ({', '.join(map(repr, grams))})"
+
+
+def _starts(template: list[str], threshold: float) -> Column:
+    """Places of a template's bigrams that enough others follow within the longest window."""
+    need, span = _reach(template, threshold)
+    own = f"transform(filter(_hits, h -> {_among('h.gram', template)}), h -> h.at)"
+    return F.expr(f"get(transform(array({own}), own -> filter(own, (at, j) -> get(own, j + {need - 1}) - at < {span})), 0)")
+
+
+def _before(grams: Column) -> Column:
+    """For every bigram the place of the same bigram before it, -1 for none: neighbours after a sort."""
 
-    def scored(hits: Column) -> Column:
-        def ends(first: Column, j: Column) -> Column:
-            near = F.filter(F.slice(hits, j + need, span), lambda h: h["at"] - first["at"] < span)
+    def found(ordered: Column) -> Column:
+        def last(g: Column, i: Column) -> Column:
+            prior = F.get(ordered, i - 1)
+            return F.struct(g["at"].alias("at"), F.when(prior["gram"] == g["gram"], prior["at"]).otherwise(-1).alias("before"))
 
-            def dice(last: Column) -> Column:
-                own = F.array_distinct(F.slice(grams, first["at"] + 1, last["at"] - first["at"] + 1))
-                return 2.0 * F.size(F.filter(own, lambda g: g.isin(template))) / (F.size(own) + b)
+        return F.transform(F.array_sort(F.transform(ordered, last)), lambda g: g["before"])
 
-            return F.array_max(F.transform(near, dice))
+    return bound(F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("gram"), i.alias("at")))), found)
 
-        return F.array_max(F.filter(F.transform(hits, ends), lambda d: d >= threshold))
 
-    places = F.transform(grams, lambda g, i: F.struct(g.alias("gram"), i.alias("at")))
-    return bound(F.filter(places, lambda p: p["gram"].isin(template)), scored)
+def _window_dice(k: int, template: list[str], threshold: float) -> Column:
+    """Best coefficient of the windows that begin at the starts of template k, null below the threshold."""
+    b, (_, span) = len(template), _reach(template, threshold)
+    new = "if(g.before < s, 1, 0)"
+    step = f"""struct(
+        acc.own + {new} as own,
+        acc.shared + if(g.held, {new}, 0) as shared,
+        if(g.held, greatest(acc.best, 2D * (acc.shared + {new}) / (acc.own + {new} + {b})), acc.best) as best)"""
+    from_start = f"aggregate(slice(marked, s + 1, {span}), struct(0 as own, 0 as shared, 0D as best), (acc, g) -> {step}, acc -> acc.best)"
+    best = f"array_max(filter(transform(get(_starts, {k}), s -> {from_start}), d -> d >= {threshold}D))"
+    marks = f"transform(_grams, (g, i) -> struct(get(_before, i) as before, {_among('g', template)} as held))"
+    return F.expr(f"if(size(get(_starts, {k})) > 0, get(transform(array({marks}), marked -> {best}), 0), null)")
 
 
 def scan_texts(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES + FULL_TEXTS, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with license and dice of the best window of the whole text (null without one), licenses (all found, sorted).
+    """docs with n_matches (templates that some window matches), license and dice of the best window (null without one), licenses (all found, sorted).
 
     Notices may be wrapped over lines or stand within longer sentences.
     """
-    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
-
-    def found(grams: Column) -> Column:
-        made = [
-            F.when(_any(text, anchors(((name, notice),), threshold)), _window_dice(grams, bigrams(notice), threshold))
-            for name, notice in templates
-        ]
-        all_of = F.array(*(F.struct(d.alias("dice"), F.lit(-k).alias("place"), F.lit(name).alias("license")) for k, (d, (name, _)) in enumerate(zip(made, templates))))
-        return F.filter(all_of, lambda m: m["dice"].isNotNull())
+    known = [bigrams(t) for _, t in templates]
+    words = anchors(templates, threshold)
+    some = list(dict.fromkeys(g for grams in known for g in grams))
+    no_grams, no_match = F.array().cast("array<string>"), F.array().cast("array<struct<dice:double,place:int,license:string>>")
 
     def pairs(words: Column) -> Column:
-        return F.when(F.size(words) > 1, F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))).otherwise(F.array().cast("array<string>"))
-
-    hit = _any(text, anchors(templates, threshold))
-    out = docs.withColumn("_found", F.when(hit, bound(bound(F.split(normal(text), " "), pairs), found)))
+        return F.when(F.size(words) > 1, F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))).otherwise(no_grams)
+
+    def grams(text: Column) -> Column:
+        return F.when(_any(text, words), bound(F.split(normal(text), " "), pairs)).otherwise(no_grams)
+
+    # One projection per step: each is read several times by the next, so none is computed twice.
+    kept = [c for c in docs.columns if c.lower() not in ("n_matches", "license", "dice", "licenses")]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), bound(F.lower(F.coalesce(F.col("text"), F.lit(""))), grams).alias("_grams"))
+    hits = rows.withColumn("_hits", F.expr(f"filter(transform(_grams, (g, i) -> struct(g as gram, i as at)), h -> {_among('h.gram', some)})"))
+    begun = hits.select("_row", "_grams", F.array(*(_starts(own, threshold) for own in known)).alias("_starts"))
+    begins = F.exists("_starts", lambda s: F.size(s) > 0)
+    placed = begun.withColumns({"_before": F.when(begins, _before(F.col("_grams"))), "_any": begins})
+    made = (
+        F.struct(_window_dice(k, own, threshold).alias("dice"), F.lit(-k).alias("place"), F.lit(name).alias("license"))
+        for k, (own, (name, _)) in enumerate(zip(known, templates))
+    )
+    out = placed.select("_row", F.when(F.col("_any"), F.filter(F.array(*made), lambda m: m["dice"].isNotNull())).otherwise(no_match).alias("_found"))
     top = F.array_max("_found")
-    names = F.coalesce(F.array_sort(F.array_distinct(F.transform("_found", lambda m: m["license"]))), F.array().cast("array<string>"))
-    return out.select(*docs.columns, top["license"].alias("license"), top["dice"].alias("dice"), names.alias("licenses"))
+    return out.select(
+        *(F.col("_row")[c].alias(c) for c in kept),
+        F.size("_found").cast("long").alias("n_matches"),
+        top["license"].alias("license"),
+        top["dice"].alias("dice"),
+        F.array_sort(F.array_distinct(F.transform("_found", lambda m: m["license"]))).alias("licenses"),
+    )
 
 
 def _any(text: Column, words: list[str]) -> Column:

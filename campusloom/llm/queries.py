@@ -31,6 +31,11 @@ def license_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_matches", "license", "dice", F.array_join("licenses", ",").alias("licenses"))
+
+
+def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_matches", "license", "dice", F.array_join("licenses", ",").alias("licenses"))
 
@@ -92,6 +97,7 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": license_scan,
     "op1_license_texts": license_texts,
+    "op1_license_lines": license_lines,
     "op2_source_mix": source_mix,
     "op3_quality_rules": rules,
     "op4_exact_top_k": exact_top_k,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import TEMPLATES, THRESHOLD
+from .licenses import FULL_TEXTS, TEMPLATES, THRESHOLD
 from .quality_rules import MEASURES
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -10,7 +10,7 @@ _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D
 _TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
 _NORMAL = r"string_split(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"
 _GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
-LICENSES = rf"""
+LICENSE_LINES = rf"""
 with templates as (
   select place, license, {_GRAMS} as g from (select place, license, {_NORMAL.format("notice")} as w from (values {_TEMPLATE_ROWS}) v(place, license, notice))
 ), units as (
@@ -30,6 +30,37 @@ with templates as (
 select doc_id, coalesce(n_matches, 0) as n_matches, b.license, b.dice, coalesce(licenses, '') as licenses from documents left join by_doc b using (doc_id)
 """
 
+_ALL_ROWS = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(TEMPLATES + FULL_TEXTS))
+LICENSES = rf"""
+with templates as (
+  select place, license, {_GRAMS} as g from (select place, license, {_NORMAL.format("notice")} as w from (values {_ALL_ROWS}) v(place, license, notice))
+), bounds as (
+  select place, license, len(g) as b, cast(ceil(len(g) * {THRESHOLD}::double / (2 - {THRESHOLD}::double) - 1e-9) as int) as need, cast(floor(len(g) * (2 - {THRESHOLD}::double) / {THRESHOLD}::double + 1e-9) as int) as span from templates
+), grams as (
+  select rid, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as gram, unnest(range(1, len(w))) as pos
+  from (select row_number() over () as rid, {_NORMAL.format("coalesce(text, '')")} as w from documents)
+), placed as (
+  select rid, gram, pos, coalesce(lag(pos) over (partition by rid, gram order by pos), 0) as before from grams
+), hits as (
+  select rid, place, pos from grams join (select place, unnest(g) as gram from templates) using (gram)
+), starts as (
+  select rid, place, pos as first from (select h.*, lead(pos, need - 1) over (partition by rid, h.place order by pos) - pos < span as enough from hits h join bounds using (place)) where enough
+), passes as (
+  select s.rid, s.place, s.first, h.pos is not null as held,
+    sum(case when p.before < s.first then 1 else 0 end) over w as own, sum(case when p.before < s.first and h.pos is not null then 1 else 0 end) over w as shared
+  from starts s join bounds using (place) join placed p on p.rid = s.rid and p.pos >= s.first and p.pos < s.first + span
+  left join hits h on h.rid = s.rid and h.place = s.place and h.pos = p.pos
+  window w as (partition by s.rid, s.place, s.first order by p.pos)
+), best as (
+  select rid, place, license, max(2.0::double * shared / (own + b)) as dice from passes join bounds using (place) where held group by all
+), by_doc as (
+  select rid, count(*) as n_matches, arg_max(license, (dice, -place)) as license, max(dice) as dice, string_agg(distinct license, ',' order by license) as licenses
+  from best where dice >= {THRESHOLD} group by rid
+)
+select doc_id, coalesce(n_matches, 0) as n_matches, b.license, b.dice, coalesce(licenses, '') as licenses
+from (select row_number() over () as rid, doc_id from documents) left join by_doc b using (rid)
+"""
+
 _VALUE = {
     "symbols": "case when word_chars > 0 then 1000 * n_symbols // word_chars else 0 end",
     "marks": "case when word_chars > 0 then 1000 * n_marks // word_chars else 0 end",
@@ -212,6 +243,8 @@ from own join sums using (p) left join own up on own.d > 0 and up.d = own.d - 1
 
 SQL: dict[str, str] = {
     "op1_license_scan": LICENSES,
+    "op1_license_texts": f"select doc_id, license, dice, licenses from ({LICENSES})",
+    "op1_license_lines": LICENSE_LINES,
     "op3_quality_rules": RULES,
     "op4_exact_top_k": TOP_K,
     "op7_ngram_jaccard": JACCARD,

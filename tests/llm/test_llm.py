@@ -158,7 +158,7 @@ def test_license_texts_by_brute_force(spark, docs):
 
 
 def test_native_operators_have_no_python(docs):
-    for df in (licenses.scan(docs), quality_rules.base_measures(docs)):
+    for df in (licenses.scan(docs), licenses.scan_texts(docs), quality_rules.base_measures(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
 
