@@ -1,4 +1,4 @@
-"""Keyed state over streams: crawl health, breakers, content memory, polling.
+"""Keyed state over streams: crawl health, breakers, content memory, attempts, stuck work, polling.
 
 Each state also works as a batch over a whole log; both give the same rows.
 State is keyed and expires, so it is bounded by the keys seen within the
@@ -285,7 +285,7 @@ def new_content_within_watermark(texts: DataFrame, text: str = "text", minimum:
     )
 
 
-# --- failed urls, attempts, polling ---------------------------------------
+# --- failed urls, attempts -----------------------------------------------
 
 def failed_marks(log: DataFrame, url: str = "url") -> DataFrame:
     """Marks of permanently failed urls: not found, or host not found."""
@@ -308,6 +308,84 @@ def attempts(log: DataFrame, key: str, terminal: Column, value: int = 99) -> Dat
     )
 
 
+class _Attempts(_Ordered):
+    """State: attempts so far, whether a terminal event was among them, time of the last one."""
+
+    state_schema = "n bigint, ended bigint, us bigint"
+
+    def __init__(self, key: str, value: int, idle: int) -> None:
+        self.columns, self.value_at_end, self.ttl = [key, "event_id", "us", "attempts"], value, idle
+
+    def one(self, state, row):
+        n, ended, at = state or (0, 0, None)
+        if at is not None and row.us - at >= self.ttl:
+            n, ended = 0, 0
+        n, ended = n + 1, max(ended, int(row.terminal))
+        return (n, ended, row.us), (self.value_at_end if ended else n,)
+
+
+def attempts_stream(log: DataFrame, key: str, terminal: Column, value: int = 99, idle: int = BREAKER_IDLE, lateness: str = "1 hour") -> DataFrame:
+    """The counter of :func:`attempts` after every event of a stream in time order.
+
+    The last row of a key equals the batch form. A key without an event for ``idle`` starts afresh.
+    """
+    rows = log.select(F.col(key).cast("string").alias(key), "event_id", epoch_micros(F.col("ts")).alias("us"), F.coalesce(terminal, F.lit(False)).alias("terminal"))
+    return _by_key(rows, key, _Attempts(key, value, idle), f"{key} string, event_id bigint, us bigint, attempts bigint", lateness)
+
+
+# --- stuck work -----------------------------------------------------------
+
+class _Stuck(_Ordered):
+    """Holds the processing event a key is in; a timer or a late successor reports it as stuck."""
+
+    state_schema = "event_id bigint, us bigint"
+
+    def __init__(self, key: str, limit: int) -> None:
+        self.columns, self.ttl = [key, "event_id", "us", "reset_us"], limit
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        held = tuple(self.value.get()) if self.value.exists() else None
+        out = []
+        for row in pd.concat(list(rows), ignore_index=True).sort_values(["us", "event_id"], kind="stable").itertuples(index=False):
+            if held is not None and row.us - held[1] > self.ttl:
+                out.append((*key, *held, held[1] + self.ttl))
+            held = (row.event_id, row.us) if row.processing else None
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if held is None:
+            self.value.clear()
+        else:
+            self.value.update(held)
+            self.handle.registerTimer((held[1] + self.ttl) // 1000 + 1)
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        held = tuple(self.value.get()) if self.value.exists() else None
+        self.value.clear()
+        if held is not None:
+            yield pd.DataFrame([(*key, *held, held[1] + self.ttl)], columns=self.columns)
+
+
+def stuck_work_stream(log: DataFrame, key: str, processing: Column, minutes: int = 20, lateness: str = "1 hour") -> DataFrame:
+    """Processing events with no event of their key in the minutes after them, and when they were to be reset.
+
+    ``log`` has the key, event_id and ts, in time order; ties in time go by event_id. An event is reported
+    when the watermark has passed its limit or when a later event of its key shows that it was passed.
+    One without a timestamp is reported at once, with no time. State: the open event of a key, if any.
+    """
+    rows = log.select(
+        F.col(key).cast("string").alias(key), F.col("event_id").cast("long").alias("event_id"),
+        epoch_micros(F.col("ts")).alias("us"), F.coalesce(processing, F.lit(False)).alias("processing"),
+    )
+    output = f"{key} string, event_id bigint, us bigint, reset_us bigint"
+    timed = _by_key(rows.filter("us IS NOT NULL"), key, _Stuck(key, minutes * HOUR // 60), output, lateness)
+    untimed = rows.filter("us IS NULL AND processing").select(key, "event_id", "us", F.lit(None).cast("bigint").alias("reset_us"))
+    return timed.unionByName(untimed)
+
+
+# --- polling --------------------------------------------------------------
+
 def poll(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = "90 seconds"):
     """Run ``work`` on every micro-batch; ``every=None`` drains what is there."""
     w = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)

@@ -96,6 +96,28 @@ def crawl_attempts(t):
     return T.attempts(t.fx_crawl, "domain", F.col("event_id") % 500 == 0)
 
 
+@query(
+    "T7",
+    """SELECT event_id, domain, CASE WHEN bool_or(event_id % 500 = 0) OVER w THEN 99 ELSE COUNT(*) OVER w END AS attempts
+FROM fx_crawl WINDOW w AS (PARTITION BY domain ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
+)
+def crawl_attempts_stream(t):
+    s = T.attempts_stream(_stream(t, "fx_crawl"), "domain", F.col("event_id") % 500 == 0)
+    return T.drain(s, work_folder(t.spark)).select("event_id", "domain", "attempts")
+
+
+@query(
+    "T4",
+    """SELECT domain, event_id, epoch_us(ts) AS us, epoch_us(ts) + 1200000000 AS reset_us
+FROM (SELECT *, lead(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) AS following, MAX(ts) OVER () AS latest FROM fx_crawl) x
+WHERE status_code = 200 AND coalesce(following, latest - INTERVAL 60 MINUTE) > ts + INTERVAL 20 MINUTE""",
+)
+def stuck_work_stream(t):
+    """Successful crawls start the processing of a domain; the next crawl of it ends that."""
+    s = T.stuck_work_stream(_stream(t, "fx_crawl"), "domain", F.col("status_code") == 200)
+    return T.drain(s, work_folder(t.spark)).select("domain", "event_id", "us", "reset_us")
+
+
 @query("T6", "SELECT event_id, user_id FROM events WHERE event_type = 'error'")
 def polled_records(t):
     """Micro-batches of open records, each written by its own job."""

@@ -86,6 +86,49 @@ def test_expiry_clears_counters(spark):
     assert [r.forbidden_count for r in got] == [1, 2, 1, 2] and {r.health for r in got} == {"degraded"}
 
 
+def test_attempts(spark, log):
+    """The last row of a key is the batch counter; the state expires with the idle time."""
+    batch, stream = log
+    end = F.col("event_id") % 40 == 0
+    got = {}
+    for r in T.drain(T.attempts_stream(stream, "domain", end), work_folder(spark)).orderBy("us", "event_id").collect():
+        got[r.domain] = r.attempts
+    want = {r.domain: r.attempts for r in T.attempts(batch, "domain", end).collect()}
+    assert got == want and 99 in want.values() and min(want.values()) < 99
+    n, last = {}, {}
+    short = {r.event_id: r.attempts for r in T.drain(T.attempts_stream(stream, "domain", F.lit(False), idle=6 * T.HOUR), work_folder(spark)).collect()}
+    for r in batch.select("domain", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).orderBy("us", "event_id").collect():
+        n[r.domain] = 1 if r.us - last.get(r.domain, r.us) >= 6 * T.HOUR else n.get(r.domain, 0) + 1
+        last[r.domain] = r.us
+        assert short[r.event_id] == n[r.domain]
+
+
+def test_stuck_work(spark, log):
+    batch, stream = log
+    limit, lateness = 120, T.HOUR
+    ordered = batch.select("domain", "event_id", "result", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).orderBy("us", "event_id").collect()
+    latest, open_at, want = ordered[-1].us - lateness, {}, []
+    for r in ordered:
+        e = open_at.pop(r.domain, None)
+        if e and r.us - e[1] > limit * T.HOUR // 60:
+            want.append((r.domain, *e, e[1] + limit * T.HOUR // 60))
+        if r.result != "ok":
+            open_at[r.domain] = (r.event_id, r.us)
+    want += [(d, *e, e[1] + limit * T.HOUR // 60) for d, e in open_at.items() if e[1] + limit * T.HOUR // 60 < latest]
+    found = T.stuck_work_stream(stream, "domain", F.col("result") != "ok", minutes=limit)
+    assert rows(T.drain(found, work_folder(spark)), "domain", "event_id", "us", "reset_us") == sorted(want)
+    assert 0 < len(want) < batch.filter("result <> 'ok'").count()
+
+
+def test_work_without_a_time_is_stuck_at_once(spark, log, tmp_path):
+    batch, _ = log
+    late = batch.withColumn("ts", F.when(F.col("event_id") % 9 != 0, F.col("ts")))
+    late.write.parquet(str(tmp_path / "f"))
+    stream = spark.readStream.schema(late.schema).parquet(str(tmp_path / "f"))
+    out = T.drain(T.stuck_work_stream(stream, "domain", F.col("result") == "failed"), work_folder(spark))
+    assert rows(out.filter("us IS NULL"), "event_id") == rows(late.filter("ts IS NULL AND result = 'failed'"), "event_id")
+
+
 def test_poll_goes_on_where_it_stopped(spark, log, tmp_path):
     _, stream = log
     seen = []
