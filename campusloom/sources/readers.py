@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from campusloom import rules
 from campusloom.functions.urls import classify
+from campusloom.session import durable
 
 
 def scan(spark: SparkSession, path: str, columns: list[str] | None = None, where: Column | str | None = None, limit: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -132,3 +133,22 @@ def pick_submaps(index: DataFrame, n: int | None = 3) -> DataFrame:
     relevant = F.when(F.col("loc").rlike(rules.SITEMAP_RELEVANT), 0).otherwise(1)
     ranked = index.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(relevant, "ord")))
     return ranked if n is None else ranked.filter(F.col("rank") <= n)
+
+
+def sitemap_chain(index: DataFrame, entries: DataFrame, roots: DataFrame, depth: int = 2, n: int | None = None) -> DataFrame:
+    """(site, source, depth, ord, loc): the entries of all maps that a site reaches from its roots.
+
+    ``index`` and ``entries`` are the (source, ord, loc) rows of index files and of maps, source being a
+    file's own url; ``roots`` has (site, source). Index files may name further index files down to ``depth``
+    steps. A file counts once per site, at its least depth, so cycles and repeated names end; a name without
+    a file gives nothing. With ``n`` only so many sub-maps of each index file are followed.
+    """
+    named = pick_submaps(index, n).select("source", F.col("loc").alias("next")).distinct()
+    front = roots.select("site", "source").dropna().distinct().withColumn("depth", F.lit(0))
+    reached = front
+    for step in range(1, depth + 1):
+        found = front.join(named, "source").select("site", F.col("next").alias("source")).distinct()
+        new = found.join(reached.select("site", "source"), ["site", "source"], "left_anti")
+        front = durable(new.withColumn("depth", F.lit(step)))
+        reached = reached.unionByName(front)
+    return reached.join(entries, "source").select("site", "source", "depth", "ord", "loc")

@@ -144,6 +144,48 @@ def sitemap_selection(t):
     return H.select_sitemap(read, failed, "site", "loc", "loc", 12).select("site", F.col("loc").alias("url"), "score", "rank")
 
 
+_CHAIN = """(WITH RECURSIVE reach AS (
+  SELECT DISTINCT CAST(floor(page_id / 100) AS BIGINT) AS site, 'i' || CAST(CAST(floor(page_id / 100) AS BIGINT) AS VARCHAR) AS source, 0 AS depth FROM pages
+  UNION SELECT r.site, s.loc, r.depth + 1 FROM reach r JOIN fx_submap s ON s.source = r.source WHERE r.depth < 2)
+SELECT site, source, depth, link AS url FROM (SELECT site, source, MIN(depth) AS depth FROM reach GROUP BY ALL) r
+JOIN (SELECT 'p' || CAST(CAST(floor(page_id / 20) AS BIGINT) AS VARCHAR) AS source, link FROM fx_link) e USING (source))"""
+
+
+def _landed_chain(t):
+    """Index files and maps of 20 links each, landed and read back as XML, followed from the index of each site."""
+    folder = work_folder(t.spark)
+    tagged = lambda tag, loc: F.concat(F.lit(f"<{tag}><loc>"), F.replace(loc, F.lit("&"), F.lit("&amp;")), F.lit(f"</loc></{tag}>"))
+    inside = lambda body: F.array_join(F.sort_array(F.collect_list(body)), "")
+    named = lambda tag, body: F.concat(F.lit(f"<{tag}>"), body, F.lit(f"</{tag}>")).alias("value")
+    maps = t.fx_link.withColumn("map", F.concat(F.lit("p"), F.floor(F.col("page_id") / 20).cast("string")))
+    maps.groupBy("map").agg(named("urlset", inside(tagged("url", "link")))).write.partitionBy("map").text(f"{folder}/maps")
+    t.fx_submap.groupBy(F.col("source").alias("map")).agg(named("sitemapindex", inside(tagged("sitemap", "loc")))).write.partitionBy("map").text(f"{folder}/index")
+
+    def read(part: str, tag: str):
+        return readers.read_sitemaps(t.spark, f"{folder}/{part}", tag).withColumn("source", F.regexp_extract("source", "map=([a-z0-9]+)", 1))
+
+    site = F.floor(F.col("page_id") / 100).cast("long")
+    roots = t.pages.select(site.alias("site"), F.concat(F.lit("i"), site.cast("string")).alias("source"))
+    return readers.sitemap_chain(read("index", "sitemap"), read("maps", "url"), roots)
+
+
+@query("S6", f"SELECT site, source, depth, url FROM {_CHAIN} c")
+def sitemap_chain(t):
+    return _landed_chain(t).select("site", "source", "depth", F.col("loc").alias("url"))
+
+
+@query(
+    "H5 S6",
+    f"""SELECT site, url, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY score DESC, url) AS rank FROM
+ (SELECT site, url, score, row_number() OVER (PARTITION BY site, {_norm('url')} ORDER BY url) AS k FROM (SELECT DISTINCT site, url, {_first('lower(url)', rules.SITEMAP_SCORES, 5)} AS score FROM {_CHAIN} d) a WHERE score >= 0) b WHERE k = 1) c
+WHERE rank <= 30 AND url NOT IN (SELECT url FROM fx_failed_page)""",
+)
+def sitemap_chain_selection(t):
+    """Best links of all maps that the index of a site reaches."""
+    failed = t.fx_failed_page.select(hashing.url_key(F.col("url")).alias("url_hash"))
+    return H.select_sitemap(_landed_chain(t), failed, "site", "loc", "loc", 30).select("site", F.col("loc").alias("url"), "score", "rank")
+
+
 @query(
     "H6",
     """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN round(l_tax * 100, 1) END AS acceptance_rate, CAST(l_partkey AS VARCHAR) || ',000' AS total_students, CASE WHEN l_suppkey % 3 = 0 THEN 'USD ' || CAST(l_suppkey AS VARCHAR) || ',500/year' END AS tuition_fee FROM lineitem""",

@@ -299,6 +299,25 @@ def test_ranking_csv_with_mark_and_blanks(spark, tmp_path):
     assert [(r.institution_name, r["rank"]) for r in rows] == [('B, of "X"', "2"), ('B, of "X"', "9")]
 
 
+def test_sitemap_chain(spark):
+    """Cycles, repeats, missing files, names of another site, depth and number of sub-maps."""
+    index = spark.createDataFrame(
+        [("i", 1, "i"), ("i", 2, "a"), ("i", 3, "programs"), ("i", 4, "a"), ("i", 5, "n"), ("n", 1, "i"), ("n", 2, "b"), ("n", 3, "x"), ("x", 1, "deep"), ("i", 6, "gone")],
+        "source string, ord int, loc string",
+    )
+    entries = spark.createDataFrame([(m, k, f"{m}/{k}") for m in ("a", "b", "programs", "deep", "other") for k in (1, 2)], "source string, ord int, loc string")
+    roots = spark.createDataFrame([(1, "i"), (1, "i"), (2, "a"), (3, "none"), (None, "a"), (4, "x")], "site int, source string")
+
+    def reached(**more):
+        return sorted({(r.site, r.source, r.depth) for r in readers.sitemap_chain(index, entries, roots, **more).collect()})
+
+    found = readers.sitemap_chain(index, entries, roots)
+    assert found.count() == found.distinct().count() == 2 * len(reached())
+    assert reached() == [(1, "a", 1), (1, "b", 2), (1, "programs", 1), (2, "a", 0), (4, "deep", 1)]
+    assert (1, "deep", 3) in reached(depth=3) and reached(depth=0) == [(2, "a", 0)]
+    assert [r for r in reached(n=1) if r[0] == 1] == [(1, "programs", 1)]
+
+
 def test_sitemap_index(spark, tmp_path):
     (tmp_path / "i.xml").write_text("<sitemapindex>" + "".join(f"<sitemap><loc> https://x.org/{n}.xml </loc></sitemap>" for n in ("a", "b", "programs", "c")) + "</sitemapindex>")
     index = readers.read_sitemaps(spark, str(tmp_path / "i.xml"), tag="sitemap")
