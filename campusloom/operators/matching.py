@@ -88,26 +88,42 @@ def reconcile_ranking(entities: DataFrame, ranking: DataFrame, aliases: DataFram
 
 # --- countries ------------------------------------------------------------
 
-def substring_index(dim: DataFrame, key: str, text: str) -> DataFrame:
-    """Every substring of a dimension text with the smallest key holding it.
+GRAM = 3
 
-    Turns "contains" into an equi join; meant for short names (n characters
-    give n*(n+1)/2 rows).
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct substrings of one size; none of a shorter text."""
+    places = F.sequence(F.lit(1), F.length(text) - size + 1)
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(places, lambda s: F.substring(text, s, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def smallest_containing(words: DataFrame, dim: DataFrame, word: str, key: str, text: str) -> DataFrame:
+    """(word, key): for each distinct word the smallest key of a dimension text that holds it, case ignored.
+
+    A text of n characters gives at most 3 * n index rows. Words of up to three characters are index
+    entries themselves. A longer word meets only the texts that hold its rarest three characters (ties: the
+    first in order), and each is then checked. Words without a text, null and empty words give no row.
     """
-    t = F.col("__t")
-    pieces = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.length(t)),
-            lambda s: F.transform(F.sequence(F.lit(1), F.length(t) - s + 1), lambda n: F.substring(t, s, n)),
-        )
+    lower = dim.select(F.col(key).alias("__k"), F.lower(text).alias("__t")).filter(F.length("__t") > 0)
+    asked = words.select(F.col(word).alias("__w")).filter("__w <> ''").distinct()
+    sizes = F.concat(*(_grams(F.col("__t"), n) for n in range(1, GRAM + 1)))
+    index = lower.select("__k", F.explode(sizes).alias("__g"))
+    entries = index.groupBy("__g").agg(F.min("__k").alias("__least"), F.count(F.lit(1)).alias("__n"))
+    short = asked.filter(F.length("__w") <= GRAM).join(entries, F.col("__w") == F.col("__g")).select("__w", F.col("__least").alias("__k"))
+
+    # A word one of whose parts is in no text has no match; the others go on with the part of fewest texts.
+    parts = asked.filter(F.length("__w") > GRAM).select("__w", F.explode(_grams(F.col("__w"), GRAM)).alias("__g"))
+    rarest = (
+        parts.join(entries, "__g", "left").groupBy("__w")
+        .agg(F.min(F.struct("__n", "__g")).alias("__r"), F.count_if(F.col("__n").isNull()).alias("__gone"))
+        .filter("__gone = 0").select("__w", F.col("__r.__g").alias("__g"))
     )
-    return (
-        dim.select(F.col(key), F.lower(text).alias("__t"))
-        .filter(F.length("__t") > 0)
-        .select(F.col(key), F.explode(F.array_distinct(pieces)).alias("piece"))
-        .groupBy("piece")
-        .agg(F.min(key).alias(key))
+    texts = lower.select("__k", "__t").distinct()
+    long = (
+        rarest.join(index, "__g").join(texts, "__k").filter(F.contains("__t", "__w"))
+        .groupBy("__w").agg(F.min("__k").alias("__k"))
     )
+    return short.unionByName(long).select(F.col("__w").alias(word), F.col("__k").alias(key))
 
 
 def resolve_country(records: DataFrame, countries: DataFrame, text: str = "country", key: str = "country_id") -> DataFrame:
@@ -119,10 +135,10 @@ def resolve_country(records: DataFrame, countries: DataFrame, text: str = "count
         .withColumn("__w", F.split_part("__c", F.lit(" "), F.lit(1)))
     )
     equal = countries.groupBy(F.lower("name").alias("__n")).agg(F.min("country_id").alias("__eq"))
-    part = substring_index(countries, "country_id", "name").select("piece", F.col("country_id").alias("__part"))
+    part = smallest_containing(wanted, countries, "__w", "country_id", "name").select(F.col("__w").alias("__piece"), F.col("country_id").alias("__part"))
     resolved = (
         wanted.join(equal, F.col("__c") == F.col("__n"), "left")
-        .join(part, F.col("__w") == F.col("piece"), "left")
+        .join(part, F.col("__w") == F.col("__piece"), "left")
         .select(
             F.col("__c").alias("__ck"),
             F.coalesce("__eq", "__part").alias("__id"),

@@ -182,3 +182,25 @@ def rate_and_eta(samples: DataFrame, series: list[str] | None = None, window: in
     rate = F.when((ms > 0) & (grown > 0), F.round(grown / ms * 1000 * 3600)).otherwise(F.lit(0.0))
     eta = F.when((F.col("rate_per_hour") > 0) & (F.col("pending") > 0), F.round(F.col("pending") / F.col("rate_per_hour"), 1))
     return old.withColumn("rate_per_hour", rate).withColumn("eta_hours", eta).select(*samples.columns, "sample_no", "rate_per_hour", "eta_hours")
+
+
+#: Standard error of a distinct sketch with 2**lg_k registers is 1.04 / sqrt(2**lg_k), before and after merging.
+SKETCH_LG_K = 12
+
+
+def sketch_error(lg_k: int = SKETCH_LG_K) -> float:
+    return 1.04 / 2 ** (lg_k / 2)
+
+
+def distinct_sketches(df: DataFrame, run: str, by: list[str], value: str, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """(*by, run, sketch): the distinct values of every run and group in at most 2**lg_k bytes.
+
+    Meant to be kept: a run is read once, and any span of runs is counted from its sketches alone. Built on
+    the map side, so a hot group costs one sketch a task. Null values do not count; null groups are groups.
+    """
+    return df.groupBy(*by, run).agg(F.hll_sketch_agg(F.col(value), F.lit(lg_k)).alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, n_estimated): distinct values over all runs given, from their merged sketches."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_estimated"))

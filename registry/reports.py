@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from campusloom.functions import text as X, urls as U
 from campusloom.operators import matching as M, predicates as P, ranking, records as R, reports as A
 from campusloom.plans import backfill, performance
-from campusloom.session import spread
+from campusloom.session import durable, spread
 from registry.base import query
 from registry.matching import _LINKS, _PICK, _PRIO, links
 from registry.records import _REC
@@ -143,6 +143,21 @@ def merged_partial_results(t):
     return m.select("conv_id", F.col("text").alias("description"), "role", F.array_join(F.array_sort("roles"), ",").alias("roles"))
 
 
+@query(
+    "A12",
+    """SELECT event_type, least(CAST((day(ts) - 1) // 10 AS INT), 2) AS span, COUNT(DISTINCT user_id) AS n_distinct, true AS within_error FROM events GROUP BY ALL
+UNION ALL SELECT event_type, -1, COUNT(DISTINCT user_id), true FROM events GROUP BY ALL""",
+)
+def distinct_users_by_span(t):
+    """Users of each kind of event over ten-day spans and over all days (-1): exact, and whether merged daily sketches agree within four standard errors."""
+    days = t.events.select("event_type", "user_id", F.dayofmonth("ts").alias("day"), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("int").alias("span"))
+    sketches = durable(A.distinct_sketches(days, "day", ["event_type", "span"], "user_id"))
+    estimated = A.distinct_estimates(sketches, ["event_type", "span"]).unionByName(A.distinct_estimates(sketches.withColumn("span", F.lit(-1)), ["event_type", "span"]))
+    exact = days.unionByName(days.withColumn("span", F.lit(-1))).groupBy("event_type", "span").agg(F.countDistinct("user_id").alias("n_distinct"))
+    within = F.abs(F.col("n_estimated") - F.col("n_distinct")) <= F.greatest(F.lit(1), 4 * A.sketch_error() * F.col("n_distinct"))
+    return exact.join(estimated, ["event_type", "span"]).select("event_type", "span", "n_distinct", within.alias("within_error"))
+
+
 @query("A12", "SELECT lang, source, COUNT(DISTINCT md5(text)) AS n_distinct FROM documents GROUP BY 1, 2")
 def distinct_texts(t):
     return A.distinct_summary(t.documents.withColumn("h", F.md5("text")), "h", ["lang", "source"])

@@ -299,6 +299,34 @@ def test_ranking_csv_with_mark_and_blanks(spark, tmp_path):
     assert [(r.institution_name, r["rank"]) for r in rows] == [('B, of "X"', "2"), ('B, of "X"', "9")]
 
 
+def test_smallest_containing_by_brute_force(spark):
+    """Short and long words, parts that no text holds, repeated keys, a text of 10,000 characters."""
+    rng = random.Random(5)
+    names = ["".join(rng.choices("abC é", k=rng.randint(0, 12))) for _ in range(150)] + ["".join(rng.choices("abcd", k=10_000)), None]
+    dim = [(rng.randrange(100), n) for n in names]
+    words = ["".join(rng.choices("abcé", k=rng.randint(0, 7))) for _ in range(300)] + [names[-2].lower()[5_000:5_040], None, "zzzz"]
+    want = {w: min(k for k, n in dim if n and w in n.lower()) for w in words if w and any(n and w in n.lower() for _, n in dim)}
+    got = M.smallest_containing(spark.createDataFrame([(w,) for w in words], "w string"), spark.createDataFrame(dim, "id int, name string"), "w", "id", "name").collect()
+    assert {r.w: r.id for r in got} == want and len(got) == len(want) > 40
+
+
+def test_distinct_sketches(spark, tmp_path):
+    """Kept sketches of runs, merged over a span, against the exact count; a new run adds its own only."""
+    rows = spark.range(60_000).selectExpr("id % 3 AS run", "if(id % 4 = 0, 'hot', 'rest') AS kind", "CASE WHEN id % 50 <> 0 THEN id % 20000 END AS v")
+    for run in range(3):
+        A.distinct_sketches(rows.filter(F.col("run") == run), "run", ["kind"], "v").write.mode("append").parquet(str(tmp_path / "s"))
+    kept = spark.read.parquet(str(tmp_path / "s"))
+    assert kept.count() == 6
+    for span in ([0], [0, 2], [0, 1, 2]):
+        exact = {r.kind: r.n for r in rows.filter(F.col("run").isin(span)).groupBy("kind").agg(F.countDistinct("v").alias("n")).collect()}
+        for r in A.distinct_estimates(kept.filter(F.col("run").isin(span)), ["kind"]).collect():
+            assert abs(r.n_estimated - exact[r.kind]) <= 4 * A.sketch_error() * exact[r.kind]
+    none = A.distinct_sketches(rows.filter("run > 5"), "run", ["kind"], "v")
+    assert A.distinct_estimates(none, ["kind"]).count() == 0
+    nulls = A.distinct_sketches(rows.filter("v IS NULL"), "run", ["kind"], "v")
+    assert {r.n_estimated for r in A.distinct_estimates(nulls, ["kind"]).collect()} == {0}
+
+
 def test_sitemap_chain(spark):
     """Cycles, repeats, missing files, names of another site, depth and number of sub-maps."""
     index = spark.createDataFrame(
