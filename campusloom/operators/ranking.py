@@ -145,25 +145,53 @@ def preprocess_content(text: Column, words: int | None = 80, keep: int | None =
     )
 
 
+PIECE_RULE = "\n\n---\n\n"
+
+
+def _distinct_pages(pages: DataFrame, entity: str, position: str, text: str, minimum: int) -> DataFrame:
+    """Trimmed page texts above the minimum, each once per record, with priority and hash."""
+    clean = pages.select(
+        F.col(entity), F.col(position).alias("__pos"), F.regexp_replace(text, r"^\s+|\s+$", "").alias("__t")
+    ).filter(F.length("__t") > minimum)
+    once = best_per_key(clean.withColumn("__h", F.sha2("__t", 256)), [entity, "__h"], ["__pos"])
+    return once.withColumn("__prio", F.when(F.col("__t").rlike(rules.PRIORITY_TEXT), 0).otherwise(1))
+
+
+def content_pieces(pages: DataFrame, entity: str, position: str, text: str, minimum: int = 80) -> DataFrame:
+    """(entity, page_no, start, piece): the content of :func:`assemble_content` as ordered pieces.
+
+    ``start`` is the piece's offset in that text (code points, from 0); between two pieces stands PIECE_RULE.
+    No list and no text of a whole record is built: numbers and offsets are running sums over blocks of
+    equal row counts, so a record may hold any share of the rows. Pages of equal position go by the hash of
+    their text, a null position comes first; null and short texts are not part of it.
+    """
+    once = _distinct_pages(pages, entity, position, text, minimum)
+    summed = running_sums(once, [entity], ["__prio", "__pos", "__h"], {"page_no": F.lit(1), "__chars": F.length("__t")})
+    n, before = F.col("page_no"), F.col("page_no") - 1
+    digits = sum((F.greatest(before - (10**k - 1), F.lit(0)) for k in range(18)), F.lit(0))  # of all page numbers before
+    label = len("[PAGE ]\n") + len(PIECE_RULE)
+    return summed.select(
+        entity, n.cast("long").alias("page_no"),
+        (F.col("__chars") - F.length("__t") + before * label + digits).cast("long").alias("start"),
+        F.concat(F.lit("[PAGE "), n.cast("string"), F.lit("]\n"), F.col("__t")).alias("piece"),
+    )
+
+
 def assemble_content(pages: DataFrame, entity: str, position: str, text: str, minimum: int = 80, limit: int | None = None) -> DataFrame:
     """One text per record: all distinct page texts, keyword pages first.
 
     With a limit the text is cut there.  Every kept text takes more than ``minimum``
     characters, so no page beyond the first limit/minimum can then reach the result
-    and groups stay bounded.
+    and groups stay bounded.  Without one a record's content has to fit one row;
+    :func:`content_pieces` has no such bound.
     """
-    clean = pages.select(
-        F.col(entity), F.col(position).alias("__pos"), F.regexp_replace(text, r"^\s+|\s+$", "").alias("__t")
-    ).filter(F.length("__t") > minimum)
-    once = best_per_key(clean.withColumn("__h", F.sha2("__t", 256)), [entity, "__h"], ["__pos"])
-    order = F.when(F.col("__t").rlike(rules.PRIORITY_TEXT), 0).otherwise(1)
-    once = once.withColumn("__prio", order)
+    once = _distinct_pages(pages, entity, position, text, minimum)
     if limit is None:
         near = once.withColumn("__n", F.row_number().over(W.partitionBy(entity).orderBy("__prio", "__pos")))
     else:
         near = top_per_group(once, [entity], ["__prio", "__pos"], limit // minimum + 1, "__n")
     parts = F.transform("__l", lambda s: F.concat(F.format_string("[PAGE %d]\n", s["__n"]), s["__t"]))
-    whole = F.array_join(parts, "\n\n---\n\n")
+    whole = F.array_join(parts, PIECE_RULE)
     return (
         near.groupBy(entity)
         .agg(F.array_sort(F.collect_list(F.struct("__n", "__t"))).alias("__l"))

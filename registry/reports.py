@@ -234,6 +234,17 @@ def assembled_content(t):
     return ranking.assemble_content(t.conversations, "conv_id", "turn", "text")
 
 
+@query(
+    "W9",
+    r"""SELECT conv_id, n AS page_no, CAST(SUM(length(piece) + 7) OVER (PARTITION BY conv_id ORDER BY n) - length(piece) - 7 AS BIGINT) AS start, piece FROM
+(SELECT conv_id, n, '[PAGE ' || CAST(n AS VARCHAR) || ']' || chr(10) || t AS piece FROM
+ (SELECT conv_id, t, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN regexp_matches(t, '(?i)admiss|tuition|fee|program|course') THEN 0 ELSE 1 END, turn) AS n FROM
+  (SELECT conv_id, turn, t, row_number() OVER (PARTITION BY conv_id, t ORDER BY turn) AS k FROM (SELECT conv_id, turn, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM conversations) a WHERE length(t) > 80) b WHERE k = 1) c) d""",
+)
+def content_pieces(t):
+    return ranking.content_pieces(t.conversations, "conv_id", "turn", "text")
+
+
 @query(
     "W10",
     r"""SELECT doc_id, k AS chunk_no, chunk FROM (SELECT doc_id, chunk, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM

@@ -299,6 +299,24 @@ def test_ranking_csv_with_mark_and_blanks(spark, tmp_path):
     assert [(r.institution_name, r["rank"]) for r in rows] == [('B, of "X"', "2"), ('B, of "X"', "9")]
 
 
+def test_content_pieces_make_the_content(spark):
+    """A record with a third of all rows and over a hundred pages, repeated, short, null and empty texts."""
+    rng = random.Random(3)
+    fill = lambda: "".join(rng.choices("ab é😀", k=rng.randint(60, 110)))
+    rows = [("hot" if i % 3 == 0 else f"e{i % 40}", i, rng.choice([None, "", "short", "x" * 90, f" {fill()} tuition", fill(), fill()])) for i in range(2100)]
+    pages = spark.createDataFrame(rows, "entity string, pos int, text string").repartition(7)
+    whole = {r.entity: r.content for r in ranking.assemble_content(pages, "entity", "pos", "text").collect()}
+    pieces = defaultdict(list)
+    for r in ranking.content_pieces(pages, "entity", "pos", "text").orderBy("entity", "page_no").collect():
+        pieces[r.entity].append(r)
+    assert set(pieces) == set(whole) and len(pieces["hot"]) > 100
+    for entity, parts in pieces.items():
+        assert [p.page_no for p in parts] == list(range(1, len(parts) + 1))
+        assert ranking.PIECE_RULE.join(p.piece for p in parts) == whole[entity]
+        assert all(whole[entity][p.start : p.start + len(p.piece)] == p.piece for p in parts)
+    assert ranking.content_pieces(pages.limit(0), "entity", "pos", "text").count() == 0
+
+
 def test_smallest_containing_by_brute_force(spark):
     """Short and long words, parts that no text holds, repeated keys, a text of 10,000 characters."""
     rng = random.Random(5)
