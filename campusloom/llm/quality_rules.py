@@ -107,12 +107,17 @@ def thresholds(sketch: DataFrame, least_docs: int = 100) -> DataFrame:
 
 
 def apply_rules(docs: DataFrame, least_words: int = 50, most_repeats: int = 50, least_docs: int = 100) -> DataFrame:
-    """docs (without text) with the base counts, base_failed and kept. Measured once, into a table."""
-    kept_columns = [c for c in docs.columns if c not in {"text", *BASE, "n_marks"}]
-    measured = base_measures(docs.select(*kept_columns, "text")).drop("text")
+    """docs (without text) with the base counts, base_failed and kept. Measured once, into a table.
+
+    Null texts have no words and fail. Null languages and sources are groups like others. Extra columns stay,
+    whatever their names; those named like a column of the result are replaced by it.
+    """
+    kept_columns = [c for c in docs.columns if c.lower() not in {"text", *BASE, "n_marks", "base_failed", "kept"}]
+    row = F.struct(*(F.col(f"`{c}`") for c in kept_columns)).alias("_row")
+    measured = base_measures(docs.select(row, "lang", "source", "text")).drop("text")
     measured = cut(measured.withColumns({f"_{m}": v for m, v in measure_values().items()}), "quality")
     limits = thresholds(sketches(measured), least_docs)
     joined = measured.join(limits, measured["lang"].eqNullSafe(limits["_lang"]) & measured["source"].eqNullSafe(limits["_source"]))
     within = reduce(lambda a, b: a & b, (F.col(f"_{m}").between(F.col(f"low_{m}"), F.col(f"high_{m}")) for m in MEASURES))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeats * F.col("n_words"))
-    return joined.select(*kept_columns, *BASE, failed.alias("base_failed"), (~failed & within).alias("kept"))
+    return joined.select(*(F.col("_row")[c].alias(c) for c in kept_columns), *BASE, failed.alias("base_failed"), (~failed & within).alias("kept"))

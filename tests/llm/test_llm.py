@@ -591,3 +591,15 @@ def test_pipeline_on_odd_and_no_rows(spark, odd, none, labels, tmp_path):
         labels.write.parquet(f"{sf}/labels.parquet")
         out = p.run(spark, sf).toPandas()
         assert isinstance(out, pd.DataFrame) and (len(out) > 0) == os.path.exists(sf) * (df is odd)
+
+
+def test_quality_rules_with_clashing_names(spark):
+    schema = "doc_id long, text string, lang string, source string, kept string, base_failed int, n_words string, n_marks int, _lang int, _source int, _row int, _symbols int, low_symbols int, `a.b` int"
+    rows = [(k, "some plain words " * 30 + str(k), "en", None if k % 2 else "s", "x", 1, "x", 1, 2, 3, 4, 5, 6, 7) for k in range(6)] + [(9, None, None, "s", None, 1, "x", 1, 2, 3, 4, 5, 6, 7)]
+    out = quality_rules.apply_rules(spark.createDataFrame(rows, schema))
+    got = out.collect()
+    assert len(got) == 7 and len(set(out.columns)) == len(out.columns)
+    for r in got:
+        assert (r["_lang"], r["_source"], r["_row"], r["_symbols"], r["low_symbols"], r["a.b"]) == (2, 3, 4, 5, 6, 7)
+        assert r["n_words"] == (0 if r["doc_id"] == 9 else 91) and r["kept"] in (True, False) and r["base_failed"]
+    assert quality_rules.apply_rules(spark.createDataFrame([], schema)).count() == 0
