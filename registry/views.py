@@ -173,14 +173,16 @@ FROM documents
 
 # Home pages with navigation, outside links and links of every kind.
 # Index files of five maps a site: one names itself and a further index, that one names the first again.
-VIEWS["fx_submap"] = """
+_INDEX_LINKS = [("i", "i", 0), ("i", "n", 0), ("i", "gone", 0), ("n", "i", 0), ("n", "x", 0), ("x", "n", 1)]
+VIEWS["fx_submap"] = "\nUNION ALL ".join([
+    """
 SELECT DISTINCT concat(CASE WHEN m % 5 = 4 THEN 'n' ELSE 'i' END, CAST(site AS STRING)) AS source, concat('p', CAST(m AS STRING)) AS loc
-FROM (SELECT CAST(floor(page_id / 20) AS BIGINT) AS m, CAST(floor(page_id / 100) AS BIGINT) AS site FROM pages) a
-UNION ALL
-SELECT DISTINCT concat(f, CAST(site AS STRING)) AS source, concat(t, CAST(site + a AS STRING)) AS loc
-FROM (SELECT CAST(floor(page_id / 100) AS BIGINT) AS site FROM pages) b
-CROSS JOIN (SELECT 'i' AS f, 'i' AS t, 0 AS a UNION ALL SELECT 'i', 'n', 0 UNION ALL SELECT 'n', 'i', 0 UNION ALL SELECT 'n', 'x', 0 UNION ALL SELECT 'x', 'n', 1 UNION ALL SELECT 'i', 'gone', 0) c
-"""
+FROM (SELECT CAST(floor(page_id / 20) AS BIGINT) AS m, CAST(floor(page_id / 100) AS BIGINT) AS site FROM pages) a""",
+    *(
+        f"SELECT DISTINCT concat('{f}', CAST(site AS STRING)) AS source, concat('{to}', CAST(site + {more} AS STRING)) AS loc FROM (SELECT CAST(floor(page_id / 100) AS BIGINT) AS site FROM pages) b"
+        for f, to, more in _INDEX_LINKS
+    ),
+])
 
 VIEWS["fx_home"] = """
 SELECT page_id, url, concat('<html lang="en"><body><nav><a href="/about-us">A</a> <a class="x" href="/Courses/mba/">C</a></nav><p><a href="mailto:x@y.org">M</a> <a href="#top">T</a> <a href="',
