@@ -8,6 +8,7 @@ from campusloom import rules
 from campusloom.functions import basics as B, seo
 from campusloom.operators import joins, predicates as P, quality as Q, ranking, records as R
 from campusloom.plans import enrich
+from campusloom.session import spread
 from registry.base import query
 from registry.matching import _LINKS
 from registry.scalars import BRAND
@@ -176,7 +177,7 @@ def cleaned_responses(t):
         F.lit('"programs": [{"category": " Law ", "level": "PhD"}, {"category": "Online", "level": "PhD"}, {"category": "Law", "level": "PhD"}, {"category": "Art", "level": '),
         F.when(c % 2 == 0, '"Diploma"').otherwise('"Dipl"'), F.lit("},]}\n```"),
     )
-    r = R.clean_response(t.customer.select(c.alias("id"), raw.alias("raw")), "raw")
+    r = R.clean_response(spread(t.customer.select("c_custkey")).select(c.alias("id"), raw.alias("raw")), "raw")
     return r.select(
         "id", "qs_ranking", "acceptance_rate", "city", "country", F.array_join("intakes", "|").alias("intakes"),
         F.array_join(F.transform("programs", lambda p: F.concat(p["category"], F.lit(":"), p["level"])), "|").alias("programs"),

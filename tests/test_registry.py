@@ -50,3 +50,9 @@ def test_contract(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).columns == ["entity_type", "slug", "impressions", "ctr", "url"]
+
+
+def test_responses_of_a_small_file_are_cleaned_on_all_cores(spark):
+    """The customers are one split of their file: cleaning them ran in one task."""
+    df = QUERIES["cleaned_responses"](spark, SF)
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
