@@ -75,6 +75,22 @@ def union_lists(*cols: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(*parts), lambda x: x.isNotNull() & (x != "")))
 
 
+def first_of_each(items: Column, key) -> Column:
+    """First member of each ``key(member)`` in list order; members without a key are dropped.
+
+    Members are sorted by (key, place) and compared with the one before, so a long list costs no
+    comparison of all with all, and list and keys are computed once.
+    """
+    placed = F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x")))
+
+    def firsts(rows: Column) -> Column:
+        return F.filter(rows, lambda r, n: (n == 0) | (F.get(rows, n - 1)["k"] != r["k"]))
+
+    kept = bound(F.sort_array(F.filter(placed, lambda r: r["k"].isNotNull())), firsts)
+    back = F.sort_array(F.transform(kept, lambda r: F.struct(r["i"].alias("i"), r["x"].alias("x"))))
+    return F.transform(back, lambda r: r["x"])
+
+
 def add_to_set(old: Column, new: Column) -> Column:
     return F.array_union(F.coalesce(old, F.filter(new, lambda _: F.lit(False))), new)
 

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from campusloom import rules
 from campusloom.functions.basics import (
-    first_list, first_text, is_blank_trimmed, leading_number, list_size, parse_percent, parse_rank,
-    scale_percent, union_lists,
+    first_list, first_of_each, first_text, is_blank_trimmed, leading_number, list_size, parse_percent,
+    parse_rank, scale_percent, union_lists,
 )
 from campusloom.functions.jsonfix import repair_json
 from campusloom.functions.text import (
@@ -118,8 +118,7 @@ def clean_response(df: DataFrame, raw: str, limits: dict[str, int] | None = None
 def distinct_ignoring_case(items: Column, minimum: int = 5) -> Column:
     """First of each text, case ignored; short ones go afterwards."""
     full = F.filter(items, lambda x: x.isNotNull() & (x != ""))
-    keys = F.transform(full, lambda x: F.trim(F.lower(x)))
-    first = F.filter(full, lambda x, i: F.array_position(keys, F.trim(F.lower(x))) == i + 1)
+    first = first_of_each(full, lambda x: F.trim(F.lower(x)))
     return F.filter(first, lambda x: F.length(x) >= minimum)
 
 
@@ -131,8 +130,7 @@ def distinct_programs(programs: Column, ignore_case: bool = True) -> Column:
     def key(p: Column) -> Column:
         return F.concat(F.lower(p["category"]), F.lit("::"), p["level"])
 
-    keys = F.transform(programs, key)
-    return F.filter(programs, lambda p, i: F.array_position(keys, key(p)) == i + 1)
+    return first_of_each(programs, key)
 
 
 def repair_programs(programs: Column, limit: int | None = 150) -> Column:

@@ -487,3 +487,26 @@ def test_search_without_matches_nulls_and_empty_tables(spark):
     queries = spark.createDataFrame([(None,), ("",), ("law",)], "q string")
     assert M.search(queries, "q", index, "id").collect() == []
     assert M.search(queries.limit(0), "q", index, "id").collect() == []
+
+
+def test_long_program_lists_are_not_compared_all_with_all(spark):
+    """6,000 programs of one record: with all keys computed anew per program this took minutes."""
+    import time
+
+    n = 6000
+    programs = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(F.concat(F.lit(" Subject "), (i % 3000).cast("string")).alias("category"), F.lit("BSc").alias("level")))
+    df = spark.range(1).select(programs.alias("programs"), F.transform(programs, lambda p: F.upper(p["category"])).alias("texts"))
+    start = time.time()
+    row = df.select(R.repair_programs("programs").alias("p"), R.distinct_ignoring_case(F.col("texts")).alias("t")).first()
+    assert time.time() - start < 30
+    assert [p.category for p in row.p] == [f"Subject {i % 3000}" for i in range(1, 3001)]
+    assert row.t == [f" SUBJECT {i % 3000}" for i in range(1, 3001)]
+
+
+def test_distinct_lists_keep_the_first_of_each_key(spark):
+    programs = [("Law", "PhD"), (None, "PhD"), ("law", "PhD"), ("Art", None), ("LAW", "Diploma"), ("Art", "PhD"), ("Law", "PhD")]
+    df = spark.createDataFrame([(programs, ["b  long", None, " A long", "", "a long ", "B  long", "tiny"]), ([], []), (None, None)], "p array<struct<category:string,level:string>>, t array<string>")
+    got = df.select(R.distinct_programs(F.col("p")).alias("p"), R.distinct_ignoring_case(F.col("t")).alias("t")).collect()
+    assert [tuple(x) for x in got[0].p] == [("Law", "PhD"), ("LAW", "Diploma"), ("Art", "PhD")]
+    assert got[0].t == ["b  long", " A long"]
+    assert (got[1].p, got[1].t, got[2].p, got[2].t) == ([], [], None, None)
