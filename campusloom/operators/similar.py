@@ -26,6 +26,7 @@ from campusloom.session import durable
 
 _KEYS = ["word", "bi", "bj"]
 _SHORT, _TILE = 48, 512
+MOST_BITS = 4096
 
 
 def sections_of(docs: DataFrame, key: str, text: str, mark: str = "\n", minimum: int = 40) -> DataFrame:
@@ -44,10 +45,13 @@ def _ordered_words(classes: DataFrame) -> DataFrame:
     return classes.drop("words").join(ranked, "id").withColumn("size", F.size("ranked"))
 
 
-def _signatures(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Bits of the words of each set, as rows of 64-bit numbers; four bits a word of the largest set, 4,096 at most."""
-    most = int(np.diff(bounds).max(initial=1))
-    bits = min(4096, max(64, 1 << int(4 * most - 1).bit_length()))
+def _bits(size: np.ndarray) -> np.ndarray:
+    """Bits in the signature of a set: a power of two, four a word or more, from 64 to 4,096."""
+    return np.clip(2 ** np.ceil(np.log2(np.maximum(4 * size, 1))), 64, MOST_BITS).astype(np.int64)
+
+
+def _signatures(words: np.ndarray, bounds: np.ndarray, bits: int) -> np.ndarray:
+    """Signatures of sets as rows of 64-bit numbers."""
     out = np.zeros((len(bounds) - 1, bits // 64), np.uint64)
     place = (words.view(np.uint64) >> np.uint64(7)) % np.uint64(bits)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -55,17 +59,54 @@ def _signatures(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-class Sets:
-    """Word sets of rows that meet in groups, for bounds and exact counts of pairs."""
+def _signed(ranked: DataFrame) -> DataFrame:
+    """ranked (id, copies, ranked, size) with ``signature``: a bit for each word, as many as :func:`_bits` says."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ranked")
+            words, size = np.asarray(lists.flatten(), np.int64), np.asarray(lists.value_lengths(), np.int64)
+            ends, bits, signature = np.cumsum(size), _bits(size), np.empty(len(size), object)
+            for n in np.unique(bits):
+                at = np.flatnonzero(bits == n)
+                own = np.repeat(ends[at] - np.cumsum(size[at]), size[at]) + np.arange(size[at].sum())
+                signature[at] = [r.tobytes() for r in _signatures(words[own], np.append(0, np.cumsum(size[at])), int(n))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signature, pa.binary())], [*batch.schema.names, "signature"])
+
+    return ranked.mapInArrow(run, "id long, copies long, ranked array<long>, size int, signature binary")
+
+
+class Bounds:
+    """Rows that meet in groups, with what bounds the words two of them share."""
 
     def __init__(self, table: pa.Table, overlap: float):
-        lists = table.column("ranked").combine_chunks()
-        self.words = np.asarray(lists.flatten(), np.int64)
-        self.size = np.asarray(lists.value_lengths(), np.int64)
-        self.bounds = np.concatenate([[0], np.cumsum(self.size)])
-        self.signature = _signatures(self.words, self.bounds)
-        self.place, self.word = np.asarray(table.column("place"), np.int64), np.asarray(table.column("word"))
+        self.size, self.place = (np.asarray(table.column(c), np.int64) for c in ("size", "place"))
         self.overlap = overlap
+        own = table.column("signature").to_pylist()
+        self.bits = np.array([8 * len(s) for s in own], np.int64)
+        #: By number of bits: all signatures of as many bits or more, halved down to them, and where a row's is.
+        self.signatures: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        rows, above = np.zeros(0, np.int64), None
+        for n in range(MOST_BITS.bit_length() - 1, 5, -1):
+            at = np.flatnonzero(self.bits == 1 << n)
+            width = (1 << n) // 64
+            here = np.frombuffer(b"".join(own[k] for k in at), np.uint64).reshape(-1, width)
+            above = here if above is None else np.concatenate([above[:, :width] | above[:, width:], here])
+            rows = np.concatenate([rows, at])
+            where = np.full(len(own), -1)
+            where[rows] = np.arange(len(rows))
+            self.signatures[1 << n] = above, where
+
+    def _alone(self, i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
+        """The least number of words that i has and j has not, and the other way round."""
+        out = [np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)]
+        bits = np.minimum(self.bits[i], self.bits[j])
+        for n in np.unique(bits):
+            at = np.flatnonzero(bits == n)
+            rows, where = self.signatures[int(n)]
+            a, b = rows[where[i[at]]], rows[where[j[at]]]
+            out[0][at], out[1][at] = np.bitwise_count(a & ~b).sum(1), np.bitwise_count(b & ~a).sum(1)
+        return out
 
     def possible(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the pairs those that lengths, places and signatures do not rule out."""
@@ -76,11 +117,22 @@ class Sets:
             elif k == 1:  # counted at the first shared word, so nothing before it is shared
                 most = np.minimum(self.size[i] - self.place[i], self.size[j] - self.place[j])
             else:
-                alone = [np.bitwise_count(self.signature[a] & ~self.signature[b]).sum(1) for a, b in ((i, j), (j, i))]
+                alone = self._alone(i, j)
                 most = np.minimum(self.size[i] - alone[0], self.size[j] - alone[1])
             i, j = i[most >= need], j[most >= need]
         return i, j
 
+
+class Sets(Bounds):
+    """The same with the words, for exact counts of pairs."""
+
+    def __init__(self, table: pa.Table, overlap: float):
+        super().__init__(table, overlap)
+        lists = table.column("ranked").combine_chunks()
+        self.words = np.asarray(lists.flatten(), np.int64)
+        self.bounds = np.concatenate([[0], np.cumsum(self.size)])
+        self.word = np.asarray(table.column("word"))
+
     def near(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs above the overlap whose first shared word is that of their group."""
         ok = np.zeros(len(i), bool)
@@ -91,6 +143,30 @@ class Sets:
         return i[ok], j[ok]
 
 
+def _pairs(bounds: Bounds, group: np.ndarray, own: np.ndarray, single: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The possible pairs of rows of each group, some at a time."""
+    for i, j in short_pairs(group, own, single, _SHORT):
+        yield bounds.possible(i, j)
+    for a, b in tiles(group, own, single, _SHORT, _TILE):
+        i, j = np.triu_indices(len(a), 1) if a[0] == b[0] else np.indices((len(a), len(b))).reshape(2, -1)
+        yield bounds.possible(a[i], b[j])
+
+
+def _with_partner(rows: DataFrame, overlap: float) -> DataFrame:
+    """Of the rows of meetings, known by bounds only, those that have a possible partner there."""
+    columns = [*_KEYS, "id", "place", "own"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(batches, _KEYS):
+            own, bi, bj = (np.asarray(table.column(c)) for c in ("own", "bi", "bj"))
+            hit = np.zeros(table.num_rows, bool)
+            for i, j in _pairs(Bounds(table, overlap), group, own, bi == bj):
+                hit[i] = hit[j] = True
+            yield from table.select(columns).filter(pa.array(hit)).to_batches()
+
+    return rows.mapInArrow(run, rows.select(columns).schema)
+
+
 def _meetings(rows: DataFrame, overlap: float) -> DataFrame:
     """(id, links, first): per class and meeting the copies of its partners and the smallest of them."""
 
@@ -99,18 +175,11 @@ def _meetings(rows: DataFrame, overlap: float) -> DataFrame:
             sets = Sets(table, overlap)
             ids, copies, own, bi, bj = (np.asarray(table.column(c)) for c in ("id", "copies", "own", "bi", "bj"))
             links, first = np.zeros(len(ids), np.int64), ids.copy()
-
-            def count(i: np.ndarray, j: np.ndarray) -> None:
-                i, j = sets.near(*sets.possible(i, j))
+            for i, j in _pairs(sets, group, own, bi == bj):
+                i, j = sets.near(i, j)
                 for a, b in ((i, j), (j, i)):
                     np.add.at(links, a, copies[b])
                     np.minimum.at(first, a, ids[b])
-
-            for i, j in short_pairs(group, own, bi == bj, _SHORT):
-                count(i, j)
-            for a, b in tiles(group, own, bi == bj, _SHORT, _TILE):
-                i, j = np.triu_indices(len(a), 1) if a[0] == b[0] else np.indices((len(a), len(b))).reshape(2, -1)
-                count(a[i], b[j])
             hit = links > 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(first[hit])], ["id", "links", "first"])
 
@@ -129,12 +198,18 @@ def similar_sets(sets: DataFrame, key: list[str], words: str, overlap: float = 0
     # Ids that grow with the smallest key, so that the smallest partner is known by its id.
     ordered = classes.repartitionByRange(F.col("__low"), F.col("__h")).sortWithinPartitions("__low", "__h")
     classes = durable(ordered.withColumn("id", F.monotonically_increasing_id()))
-    ranked = durable(_ordered_words(classes.select("id", "copies", "words")))
+    ranked = durable(_signed(_ordered_words(classes.select("id", "copies", "words"))))
     prefix = F.slice("ranked", F.lit(1), (F.col("size") - F.floor(F.col("size") * overlap + F.lit(1e-9))).cast("int"))
     met = ranked.select("id", "copies", "ranked", F.posexplode(prefix).alias("place", "word"))
     slim = block_pairs(met.select("id", "place", "word"), ["word"], "id", block_rows)
-    dealt = slim.join(ranked.select("id", "copies", "ranked"), "id").repartition(*_KEYS).sortWithinPartitions(*_KEYS)
-    found = _meetings(dealt, overlap).groupBy("id").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
+
+    def dealt(rows: DataFrame, *more: str) -> DataFrame:
+        """Rows of meetings with columns of their sets, whole meetings in a task."""
+        return rows.join(ranked.select("id", "size", "signature", *more), "id").repartition(*_KEYS).sortWithinPartitions(*_KEYS)
+
+    near = durable(_with_partner(dealt(slim), overlap))
+    found = _meetings(dealt(near, "copies", "ranked"), overlap).groupBy("id").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
+    found = durable(found)
     lows = classes.select(F.col("id").alias("first"), F.col("__low").alias("__first"))
     linked = looked_up(found, ["first"], lows, "id").select("id", "links", "__first")
     known = classes.join(linked, "id", "left").select(

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,30 @@ def test_look_up_spreads_a_frequent_key(spark):
     got = blocks.looked_up(rows, ["k"], table, "id")
     assert got.filter("name = 'one'").count() == 4000 and got.filter("name = 'other'").count() == 1 and got.count() == 5000
     assert blocks.looked_up(rows, ["k"], table, "id", "inner").count() == 4001
+
+
+def test_words_travel_only_with_possible_partners(spark, monkeypatch):
+    """Sets that share one rare word and little else never meet with their words: these would fill the disk."""
+    rows = [(i, sorted({f"shared{i // 4}", *(f"w{i}_{k}" for k in range(20 + i % 300))})) for i in range(400)]
+    rows += [(1000 + i, sorted({*(f"twin{k}" for k in range(60)), f"own{i}"})) for i in range(3)]
+    met = []
+    whole = similar._meetings
+    monkeypatch.setattr(similar, "_meetings", lambda r, overlap: met.append(r.count()) or whole(r, overlap))
+    sets = spark.createDataFrame(rows, "k long, words array<string>")
+    got = {r.k: (r.n_similar, r.first.k) for r in similar.similar_sets(sets, ["k"], "words").collect()}
+    assert got == {k: (2, 1000) if k >= 1000 else (0, k) for k, _ in rows}
+    assert met[0] <= 3 * 25
+
+
+def test_signatures_of_different_lengths_never_rule_out_a_similar_pair(spark):
+    rng = np.random.default_rng(5)
+    pool = rng.integers(-(2**62), 2**62, 3000)
+    sets = [pool[:n] for n in (10, 15, 16, 17, 24, 30, 33, 64, 65, 99, 128, 129, 190, 1024, 1025, 1500, 2300)]
+    sets += [np.append(pool[5:n], rng.integers(-(2**62), 2**62, 5)) for n in (16, 17, 33, 65, 129, 1025)]
+    df = spark.createDataFrame([(k, 1, s.tolist(), len(s)) for k, s in enumerate(sets)], "id long, copies long, ranked array<long>, size int").repartition(3)
+    rows = similar._signed(df).withColumn("place", F.lit(0)).orderBy("id").toArrow()
+    bounds = similar.Bounds(rows, 0.65)
+    i, j = np.triu_indices(len(sets), 1)
+    left = set(zip(*(x.tolist() for x in bounds.possible(i, j))))
+    near = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if len(np.intersect1d(sets[a], sets[b])) > 0.65 * max(len(sets[a]), len(sets[b]))}
+    assert near and near <= left
