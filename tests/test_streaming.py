@@ -1,5 +1,6 @@
 """Streams over several files give the same rows as the batch forms."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,49 @@ def test_poll_goes_on_where_it_stopped(spark, log, tmp_path):
     first = sum(seen)
     T.poll(stream, work, str(tmp_path / "p"), every=None).awaitTermination()
     assert first == sum(seen) == 1000 and len(seen) == 4
+
+
+def test_a_new_key_costs_few_state_calls():
+    """Each call is a message to the JVM; a key's first rows read once, write once and set one timer."""
+    calls = []
+
+    class Value:
+        held = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, new):
+            calls.append("update")
+            self.held = new
+
+    class Handle:
+        value = Value()
+
+        def getValueState(self, *_):
+            return self.value
+
+        def listTimers(self):
+            calls.append("list")
+            return iter([7])
+
+        def deleteTimer(self, at):
+            calls.append(f"delete {at}")
+
+        def registerTimer(self, at):
+            calls.append("register")
+
+    b = T._Breaker(T.BREAKER_IDLE)
+    b.init(Handle())
+    rows = pd.DataFrame({"key": "a", "event_id": [3, 1, 2], "us": [20, 10, 20], "result": ["failed", "failed", "limited"], "retry_us": [0, 0, 5]})
+    first = next(b.handleInputRows(("a",), iter([rows.iloc[:1], rows.iloc[1:]]), None))
+    assert calls == ["get", "update", "register"]
+    assert first[["event_id", "failures", "open_until", "limited_until"]].values.tolist() == [[1, 1, 0, 0], [2, 2, 0, 25], [3, 3, 20 + T.COOLDOWN, 25]]
+    calls.clear()
+    next(b.handleInputRows(("a",), iter([rows.assign(us=rows.us + 100)]), None))
+    assert calls == ["get", "update", "list", "delete 7", "register"]
