@@ -44,13 +44,13 @@ def unmatched_report(scope: DataFrame, programs: DataFrame, courses: DataFrame)
 def resumable_backfill(scope: DataFrame, programs: DataFrame, courses: DataFrame, out: str, run_key: str, size: int = 100_000, resume: bool = False, dry_run: bool = False, max_batches: int | None = None) -> dict:
     """Backfill in key order; each batch writes its own edge folder, then counts.
 
-    Texts are matched to courses once, before the first batch.
+    The programs in scope are read and their texts matched to courses once, before the first batch.
     """
-    mine = programs.join(scope.select("entity_id"), "entity_id", "left_semi")
+    mine = durable(programs.join(scope.select("entity_id"), "entity_id", "left_semi"))
     matches = match_programs(mine, courses)
 
     def work(batch: DataFrame, batch_no: int) -> dict:
-        linked = durable(link_programs(programs.join(batch.select("entity_id"), "entity_id", "left_semi"), matches))
+        linked = durable(link_programs(mine.join(batch.select("entity_id"), "entity_id", "left_semi"), matches))
         if not dry_run:
             for name, e in build_edges(batch, matched_courses(linked)).items():
                 e.write.mode("overwrite").parquet(f"{out}/{name}/run_key={run_key}/batch={batch_no}")

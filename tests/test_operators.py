@@ -510,3 +510,20 @@ def test_distinct_lists_keep_the_first_of_each_key(spark):
     assert [tuple(x) for x in got[0].p] == [("Law", "PhD"), ("LAW", "Diploma"), ("Art", "PhD")]
     assert got[0].t == ["b  long", " A long"]
     assert (got[1].p, got[1].t, got[2].p, got[2].t) == ([], [], None, None)
+
+
+def test_resumable_backfill_reads_its_programs_once(spark, tmp_path):
+    """Every batch computed the whole programs anew."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    scope = spark.createDataFrame([(k, f"E{k}", k % 3) for k in range(12)], "entity_id long, name string, country_id int")
+    programs = spark.createDataFrame([(k % 12, f"law {k % 5}", "PhD") for k in range(40)] + [(99, "law", "PhD")], "entity_id long, category string, level string")
+    courses = spark.createDataFrame([(1, "f", "law 1", "PhD"), (2, "f", "law 2", "PhD")], "course_id long, field string, title string, level string")
+    last = backfill.resumable_backfill(scope, programs.mapInArrow(counted, programs.schema), courses, str(tmp_path / "run"), "all", size=3)
+    assert last["status"] == "completed" and last["processed"] == 12
+    assert read.value == 41
