@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from .shared import cut
 from .tokens import encoder
 
-_ROWS = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -38,10 +37,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int | None =
         enc = encoder(vocabulary)
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for k in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(k, _ROWS)
+            for first, last in enc.slices(batch.column("text")):
+                part = batch.slice(first, last - first)
                 rows: list[tuple[int, ...]] = []
-                for row, ids in enumerate(enc.encode(part.column("text").to_pylist())):
+                for row, ids in enumerate(enc.encode(part.column("text"))):
                     ids += end
                     n = len(ids) // 4
                     cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)] if n else []

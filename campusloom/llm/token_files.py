@@ -26,7 +26,6 @@ from .shared import cut
 from .tokens import encoder
 
 FORMAT = "doc_id long, chunk int, row long, ids array<int>"
-_ROWS = 500
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int | None = None) -> DataFrame:
@@ -34,13 +33,13 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int | None = None) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for k in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(k, _ROWS)
-                ids = [x + end for x in enc.encode(part.column("text").to_pylist())]
-                bounds = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(bounds, pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            for a, b in enc.slices(batch.column("text")):
+                part = batch.slice(a, b - a)
+                ids, bounds = enc.ids(part.column("text"))
+                if end_id is not None:
+                    ids, bounds = np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
+                lists = pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(ids.view("<i4")))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "chunk", "row")), lists], ["doc_id", "chunk", "row", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("chunk").cast("int"), "row", "text").mapInArrow(run, FORMAT)

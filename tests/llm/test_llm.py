@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -61,7 +62,7 @@ def test_query_equals_sql(spark, name):
     columns = sorted(df.columns)
     got = sorted(tuple(norm(v) for v in r) for r in df.select(*columns).collect())
     duck = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "conversations"):
         duck.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     want = duck.execute(f"select {', '.join(columns)} from ({SQL[name]})").fetchall()
     assert got == sorted(tuple(norm(v) for v in r) for r in want)
@@ -262,6 +263,30 @@ def test_encoder_keeps_words_over_generations(monkeypatch):
     assert len(encoder.kept) + len(encoder.kept.older) < 40
 
 
+def test_encoder_asks_the_library_for_many_words_at_once():
+    """New words meet the library's model in calls of many, known ones in none; words of other forms keep their ids."""
+    texts = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}tion word{k}!! É{chr(97 + k % 26)}ß, the end." for k in range(500)] + [None, "", "a  b"]
+    encoder, tokenizer = TextEncoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    merge, calls = encoder.merge, []
+    encoder.merge = lambda signs: calls.append(signs) or merge(signs)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert 0 < len(calls) <= 40
+    calls.clear()
+    column = pa.array(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(column.slice(100))] == want[100:] and not calls
+    ids, bounds = encoder.ids(column.slice(100))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want[100:]
+
+
+def test_encoder_joins_slices(monkeypatch):
+    monkeypatch.setattr("campusloom.llm.tokens._MOST_BYTES", 40)
+    texts = ["some words here, twice. ", None, "", "a longer text of more than forty bytes in all, whole.", "x\ty", "end"] * 3
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in TextEncoder(VOCABULARY).encode(texts)] == want
+
+
 def test_token_files_of_rows_that_share_an_id(spark):
     """Several texts under one id and under none: places are those of the files, and one id is spread over files."""
     texts = [f"text {'word ' * (k % 7)}{k}" for k in range(300)]
