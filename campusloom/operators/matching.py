@@ -240,7 +240,7 @@ def search(queries: DataFrame, text: str, index: DataFrame, key: str, k: int = 5
     at = looked_up(sets, ["token"], frequency, "set_id").select("set_id", "token", "df", F.lit(0).alias("block"), F.lit(True).alias("go"))
     best, at = None, durable(at)
     while best is None or not at.filter("go").isEmpty():
-        met = at.filter("go").join(postings.select("token", "block", "key"), ["token", "block"]).select("set_id", "key").distinct()
+        met = looked_up(at.filter("go"), ["token", "block"], postings.select("token", "block", "key"), "set_id", "inner").select("set_id", "key").distinct()
         full = looked_up(met, ["key"], documents, "set_id", "inner")
         own = F.split("set_id", " ")
         score = F.aggregate(F.filter("p", lambda p: F.array_contains(own, p["token"])), F.lit(0.0), lambda s, p: s + p["weight"])

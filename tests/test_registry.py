@@ -56,3 +56,16 @@ def test_responses_of_a_small_file_are_cleaned_on_all_cores(spark):
     """The customers are one split of their file: cleaning them ran in one task."""
     df = QUERIES["cleaned_responses"](spark, SF)
     assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_entity_search_asks_for_every_record(spark, tmp_path):
+    """It asked for the names of every hundredth record only. Expected: itself, then the records with the most and smallest keys."""
+    rows = [(k, f"Customer#{k:09d}", k % 25, "BUILDING", 10.0 * k) for k in (1, 2, 3, 30, 37, 150)] + [(7, None, None, None, None)]
+    made = spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double")
+    made.write.parquet(f"{tmp_path}/customer.parquet")
+    got = {}
+    for r in QUERIES["entity_search"](spark, str(tmp_path)).orderBy("query", "rank").collect():
+        got.setdefault(r.query, []).append((r.entity_id, r.score))
+    full, short = {k: 12.0 if k % 30 else 10.0 for k, *_ in rows if k != 7}, {k: 24.0 if k % 30 else 20.0 for k, *_ in rows if k != 7}
+    want = {f"customer {k:09d}": sorted({**full, k: short[k]}.items(), key=lambda e: (-e[1], e[0]))[:3] for k in full}
+    assert got == want
