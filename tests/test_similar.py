@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,36 @@ def test_signatures_of_different_lengths_never_rule_out_a_similar_pair(spark):
     left = set(zip(*(x.tolist() for x in bounds.possible(i, j))))
     near = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if len(np.intersect1d(sets[a], sets[b])) > 0.65 * max(len(sets[a]), len(sets[b]))}
     assert near and near <= left
+
+
+def test_words_are_ordered_without_a_shuffle(spark):
+    """Every word of every set went through five shuffles to be joined with its count."""
+    sets = [(k, 1, sorted({7, (k % 3 + 1) << 55, -(k + 1) * 10**17})) for k in range(60)]
+    ordered = similar._ordered_words(spark.createDataFrame(sets, "id long, copies long, words array<long>"))
+    assert "Exchange" not in ordered._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.ranked for r in ordered.collect()} == {k: [-(k + 1) * 10**17, (k % 3 + 1) << 55, 7] for k, _, _ in sets}
+
+
+def test_pairs_are_formed_only_where_sizes_and_places_fit(spark, monkeypatch):
+    """All pairs of a meeting were formed and then ruled out by size and place."""
+    formed, whole = [], getattr(similar.Bounds, "signed", None)
+    monkeypatch.setattr(similar.Bounds, "signed", lambda self, i, j: formed.extend(zip(i.tolist(), j.tolist())) or whole(self, i, j), raising=False)
+    rng = np.random.default_rng(2)
+    size = rng.integers(1, 200, 300)
+    place = (rng.random(300) * similar._prefix(size, 0.65)).astype(int) if whole else size * 0
+    group, own = np.sort(rng.integers(0, 3, 300)), rng.integers(0, 2, 300)
+    single = group != 1
+    table = pa.table({"size": size, "place": place, "signature": pa.array([bytes(8)] * 300, pa.binary())})
+    list(similar._pairs(similar.Bounds(table, 0.65), group, own, single))
+    fit = [
+        (i, j) for i in range(300) for j in range(i + 1, 300)
+        if group[i] == group[j] and (single[i] or own[i] != own[j]) and min(size[i] - place[i], size[j] - place[j]) >= int(0.65 * max(size[i], size[j]) + 1e-9) + 1
+    ]
+    assert sorted(tuple(sorted(p)) for p in formed) == fit
+
+
+def test_repeated_words_count_once(spark):
+    rows = [(1, ["a", "b", "a", "c"]), (2, ["c", "b", "a"]), (3, ["a", "a", "a", "d"]), (4, []), (5, None)]
+    sets = spark.createDataFrame(rows, "k long, words array<string>")
+    got = {r.k: (r.n_similar, r.first.k) for r in similar.similar_sets(sets, ["k"], "words").collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (0, 5)}
